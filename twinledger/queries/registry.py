@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+MODULE: dict[str, str] = {}  # the query module a name comes from
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -20,6 +21,7 @@ def query(name: str, oracle: str | None = None):
 
     def add(work: Callable[["Inputs"], DataFrame]):
         QUERIES[name] = lambda spark, folder: plain(work(Inputs(spark, folder)))
+        MODULE[name] = work.__module__.rsplit(".", 1)[-1]
         if oracle:
             ORACLES[name] = oracle
         return work
