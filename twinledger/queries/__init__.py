@@ -3,4 +3,4 @@
 
 def load() -> None:
     """Import all query modules, which register themselves."""
-    from twinledger.queries import catalogs, inputs, runs, status, tables  # noqa: F401
+    from twinledger.queries import catalogs, extracts, inputs, runs, settings, status, tables  # noqa: F401

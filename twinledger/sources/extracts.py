@@ -41,6 +41,8 @@ def _options(delimiter: str, encoding: str, multi_line: bool) -> dict:
         "multiLine": multi_line,
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
+        # Reading fewer columns would hide that a row is ragged.
+        "columnPruning": False,
     }
 
 
