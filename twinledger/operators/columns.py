@@ -21,13 +21,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from twinledger.functions.normalise import groupable, quoted, table_value
 from twinledger.functions.predicates import Condition, Predicate, explained, usable
 from twinledger.operators.fingerprint import cell_text
+from twinledger.operators.joins import join_on, mark_keys
 from twinledger.operators.keys import LEFT_N, RIGHT_N, side_counts
 from twinledger.sources.storage import stored
 
 PAIRS = T.DecimalType(38, 0)  # numbers of row pairs outgrow 64 bits
 
-# A key with more than this share of all duplicated rows is hot; there can be at most 1/share of them.
-HOT_SHARE = 1e-4
 
 
 def compared_columns(left: DataFrame, right: DataFrame, keys: Iterable[str], excluded: Iterable[str] = ()) -> list[str]:
@@ -100,7 +99,8 @@ def compare(
 
     l, r = side(left, right, "l"), side(right, left, "r")
     predicates, notes = {}, []
-    both = l.limit(0).crossJoin(r.drop(*_names("k", len(keys)), *[c for c in r.columns if c in set(l.columns)]).limit(0))
+    values = [f for d, p in ((l, "l"), (r, "r")) for f in d.schema.fields if f.name in set(_names(p, len(columns)))]
+    both = left.sparkSession.createDataFrame([], T.StructType(values))  # to check predicates against
     texts = {i: where[c] for i, c in enumerate(columns) if (where or {}).get(c)}
     for i, text in texts.items():
         predicate, note = usable(text, l.schema[f"l{i}"].dataType, both, f"l{i}", f"r{i}", half_even)
@@ -122,15 +122,7 @@ def _plain(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFr
 
 def align_unique(c: Comparison) -> DataFrame:
     """Inner join on the key, for keys known to be unique on both sides: k.., l.., r.. ."""
-    return _join(c.left, c.right, c.key_names, c.null_safe, "inner")
-
-
-def _join(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe: bool, how: str) -> DataFrame:
-    if not null_safe:
-        return a.join(b, list(keys), how)
-    renamed = b.withColumnsRenamed({k: f"__{k}" for k in keys})
-    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return a.join(renamed, on, how).drop(*[f"__{k}" for k in keys])
+    return join_on(c.left, c.right, c.key_names, c.null_safe, "inner")
 
 
 def mismatch(i: int) -> Column:
@@ -181,23 +173,17 @@ def duplicated(c: Comparison) -> DataFrame:
     return profile.where((l > 0) & (r > 0) & ((l > 1) | (r > 1)))
 
 
-def _split(c: Comparison, df: DataFrame, dups: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of keys that occur once on either side, and rows of duplicated keys.
-
-    Hot keys are told apart by a broadcast of at most ``1 / HOT_SHARE`` keys, so their rows never meet
-    in one task; the shuffle join after it only sees keys of bounded size.
-    """
-    keys = c.key_names
-    hot_keys = F.broadcast(hot.select(*keys))
-    cold_keys = dups.join(hot_keys, keys, "left_anti") if not c.null_safe else _join(
-        dups, hot_keys, keys, True, "left_anti"
-    )
-    rest = _join(df, hot_keys, keys, c.null_safe, "left_anti")
-    single = _join(rest, cold_keys.select(*keys), keys, c.null_safe, "left_anti")
-    many = _join(df, hot_keys, keys, c.null_safe, "left_semi").unionByName(
-        _join(rest, cold_keys.select(*keys), keys, c.null_safe, "left_semi")
+def _cells(c: Comparison, df: DataFrame, prefix: str) -> DataFrame:
+    """Rows as (key, column position, value text)."""
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("i"), cell_text(F.col(f"{prefix}{i}"), df.schema[f"{prefix}{i}"].dataType).alias("v")
+            )
+            for i in range(len(c.columns))
+        ]
     )
-    return single, many
+    return df.select(*c.key_names, F.inline(cells))
 
 
 def _cells(c: Comparison, df: DataFrame, prefix: str) -> DataFrame:
@@ -214,10 +200,27 @@ def _cells(c: Comparison, df: DataFrame, prefix: str) -> DataFrame:
 
 
 def _split_rows(c: Comparison, dups: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    n = F.col(LEFT_N) + F.col(RIGHT_N)
-    limit = dups.agg(F.sum(n) * F.lit(HOT_SHARE)).scalar()
-    hot = dups.where(n > limit)
-    return *_split(c, c.left, dups, hot), *_split(c, c.right, dups, hot)
+    """Left rows of keys that need no pairing and of repeated keys, then the same for the right."""
+    counted = dups.select(*c.key_names, (F.col(LEFT_N) + F.col(RIGHT_N)).alias("n"))
+    return *split_by_keys(c.left, counted, c.key_names, c.null_safe), *split_by_keys(
+        c.right, counted, c.key_names, c.null_safe
+    )
+
+
+def _marked(c: Comparison, dups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``__listed`` for rows of repeated keys, and their salts."""
+    counted = dups.select(*c.key_names, (F.col(LEFT_N) + F.col(RIGHT_N)).alias("n"))
+    return tuple(mark_keys(side, counted, c.key_names, c.null_safe) for side in (c.left, c.right))
+
+
+def _join_single(c: Comparison, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Inner join of the rows whose keys need no pairing; all have salt 0, so their shuffle is kept."""
+    sides = [side.where(~F.col("__listed")).drop("__listed") for side in (left, right)]
+    return join_on(*sides, [*c.key_names, "__salt"], c.null_safe, "inner").drop("__salt")
+
+
+def _repeated(side: DataFrame) -> DataFrame:
+    return side.where("__listed").drop("__listed", "__salt")
 
 
 def fan_out_counts(c: Comparison, dups: DataFrame) -> DataFrame:
@@ -227,10 +230,13 @@ def fan_out_counts(c: Comparison, dups: DataFrame) -> DataFrame:
     row counts and the number of equal pairs follows from how often each value occurs on each side,
     so no pair is formed, however many rows a key has.
     """
-    left_single, left_many, right_single, right_many = _split_rows(c, dups)
-    single = mismatch_counts(c, _join(left_single, right_single, c.key_names, c.null_safe, "inner"))
+    left, right = _marked(c, dups)
+    single = mismatch_counts(c, _join_single(c, left, right))
     values = stored(
-        side_counts(_cells(c, left_many, "l"), _cells(c, right_many, "r"), [*c.key_names, "i", "v"]), "fan-out-values"
+        side_counts(
+            _cells(c, _repeated(left), "l"), _cells(c, _repeated(right), "r"), [*c.key_names, "i", "v"]
+        ),
+        "fan-out-values",
     )
     l, r = F.col(LEFT_N).cast(T.DecimalType(19, 0)), F.col(RIGHT_N).cast(T.DecimalType(19, 0))
     per_cell = values.groupBy(*c.key_names, "i").agg(
@@ -313,7 +319,7 @@ def _fan_out_residual(c: Comparison, values: DataFrame, i: int) -> DataFrame:
     pairs = F.col("ln") * F.col("rn")
     left, right = groups("left", LEFT_N, "ln"), groups("right", RIGHT_N, "rn")
     if by_value:
-        all_pairs = _join(left, right, c.key_names, c.null_safe, "inner")
+        all_pairs = join_on(left, right, c.key_names, c.null_safe, "inner")
     else:
 
         def without_term(df: DataFrame, side: str, n: str) -> DataFrame:
@@ -322,14 +328,14 @@ def _fan_out_residual(c: Comparison, values: DataFrame, i: int) -> DataFrame:
                 F.sum(n).cast(T.DecimalType(19, 0)).alias(n)
             )
 
-        all_pairs = _join(
+        all_pairs = join_on(
             without_term(left, "left", "ln"), without_term(right, "right", "rn"), c.key_names, c.null_safe, "inner"
         ).withColumn(
             "equal_terms", F.when(~(F.col("left_null") | F.col("right_null")), F.lit(False))
         )
     sums = [total(all_pairs.where(skeleton()), pairs)]
     if by_term:
-        met = _join(
+        met = join_on(
             left.withColumn("term", F.col("left_term")).dropna(subset=["term"]),
             right.withColumn("term", F.col("right_term")).dropna(subset=["term"]),
             [*c.key_names, "term"],
@@ -498,13 +504,13 @@ def align_samples(c: Comparison, dups: DataFrame) -> DataFrame:
     """Aligned rows to draw samples from: of a repeated key only the least row of each side."""
     if dups.isEmpty():
         return align_unique(c)
-    left_single, left_many, right_single, right_many = _split_rows(c, dups)
+    left, right = _marked(c, dups)
 
     def least(df: DataFrame, prefix: str) -> DataFrame:
         values = _names(prefix, len(c.columns))
         grouped = df.groupBy(*c.key_names).agg(F.min(F.struct(*values)).alias("row"))
         return grouped.select(*c.key_names, *[F.col("row")[v].alias(v) for v in values])
 
-    return _join(left_single, right_single, c.key_names, c.null_safe, "inner").unionByName(
-        _join(least(left_many, "l"), least(right_many, "r"), c.key_names, c.null_safe, "inner")
+    return _join_single(c, left, right).unionByName(
+        join_on(least(_repeated(left), "l"), least(_repeated(right), "r"), c.key_names, c.null_safe, "inner")
     )

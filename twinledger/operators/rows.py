@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from twinledger.functions.normalise import groupable, is_text, projection_columns, quoted
-from twinledger.operators.keys import LEFT_N, RIGHT_N, key_profile, shared_keys, side_counts
+from twinledger.operators.joins import mark_keys
+from twinledger.operators.keys import LEFT_N, RIGHT_N, side_counts
+from twinledger.sources.storage import stored
 
 DIRECTIONS = ("in_left_not_right", "in_right_not_left")
 
@@ -63,20 +65,22 @@ def _keyed(df: DataFrame, keys: Sequence[str], **options) -> DataFrame:
 def shared_row_profile(left: DataFrame, right: DataFrame, keys: Sequence[str], **options) -> DataFrame:
     """Row profile over rows whose key both sides have; ``options`` are those of the projection.
 
-    Rows are grouped before the semi join, so it sees each distinct row once; a key with very many
-    distinct rows is split by AQE's skew handling, which a semi join allows on its row side.
+    Rows are grouped before they meet the shared keys, so each distinct row is looked up once.
     """
-    shared = shared_keys(key_profile(left, right, keys), keys)
-    shared = shared.select(*[quoted(k).alias(f"__s{i}") for i, k in enumerate(keys)])
-    on = [F.col(f"__k{i}").eqNullSafe(F.col(f"__s{i}")) for i in range(len(keys))]
-    keyed_left = _keyed(left, keys, **options)
-    rows = side_counts(keyed_left, _keyed(right, keys, **options), keyed_left.columns)
-    cols = [quoted(c) for c in keyed_left.columns[len(keys):]]
-    return (
-        rows.join(shared, on, "left_semi")
-        .groupBy(*cols)
-        .agg(F.sum(LEFT_N).alias(LEFT_N), F.sum(RIGHT_N).alias(RIGHT_N))
+    raw = [f"__k{i}" for i in range(len(keys))]
+    keyed_left, keyed_right = _keyed(left, keys, **options), _keyed(right, keys, **options)
+    rows = side_counts(keyed_left, keyed_right, keyed_left.columns)
+    l, r = F.col(LEFT_N), F.col(RIGHT_N)
+    shared = stored(
+        rows.groupBy(*raw)
+        .agg(F.max(l > 0).alias("in_left"), F.max(r > 0).alias("in_right"), F.count(F.lit(1)).alias("n"))
+        .where("in_left and in_right")
+        .select(*raw, "n"),
+        "shared-keys",
     )
+    kept = mark_keys(rows, shared, raw, null_safe=True).where("__listed")
+    cols = [quoted(c) for c in keyed_left.columns[len(keys):]]
+    return kept.groupBy(*cols).agg(F.sum(LEFT_N).alias(LEFT_N), F.sum(RIGHT_N).alias(RIGHT_N))
 
 
 def shared_row_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], **options) -> DataFrame:

@@ -7,18 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from twinledger.functions.normalise import quoted
+from twinledger.operators.joins import join_list
 from twinledger.operators.keys import LEFT_N, RIGHT_N, side_counts
 
 
 def active_rows(df: DataFrame, active: DataFrame, tenant: Sequence[str]) -> DataFrame:
-    """Rows of active tenants: an inner join, so a tenant listed twice doubles its rows.
-
-    No broadcast hint: Spark broadcasts the tenant list when its size is below the session's limit and
-    otherwise joins by shuffle, where AQE splits a dominating tenant.
-    """
-    return df.join(active.select(*[quoted(c) for c in tenant]), list(tenant), "inner").select(
-        *[df[f"`{c}`"] for c in df.columns]
-    )
+    """Rows of active tenants: an inner join, so a tenant listed twice doubles its rows."""
+    return join_list(df, active, tenant)
 
 
 def repeated_tenants(active: DataFrame, tenant: Sequence[str]) -> DataFrame:

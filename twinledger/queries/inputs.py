@@ -165,9 +165,10 @@ UNION ALL SELECT 'bi', view, 'T2', s2 FROM {outcomes} o WHERE present AND s0 = '
 UNION ALL SELECT 'csv', view, 'C0', CASE WHEN present THEN 'PASS' ELSE 'FAIL' END FROM {outcomes} o
 UNION ALL SELECT 'csv', view, 'C1', s0 FROM {outcomes} o WHERE present
 UNION ALL SELECT 'csv', view, 'C2', s4 FROM {outcomes} o WHERE present AND s0 = 'PASS'"""
-INPUT_SQL["judged_views"] = """
-SELECT m.mode, o.view, o.has_accepted, NOT o.has_grain AS no_grain
-FROM {outcomes} o JOIN (SELECT 'dwi' AS mode UNION ALL SELECT 'bi' UNION ALL SELECT 'csv') m ON true"""
+INPUT_SQL["judged_views"] = " UNION ALL ".join(
+    f"SELECT '{mode}' AS mode, view, has_accepted, NOT has_grain AS no_grain FROM {{outcomes}} o"
+    for mode in ("dwi", "bi", "csv")
+)
 
 # Verdicts of three runs, a run per order status.
 INPUT_SQL["run_results"] = """

@@ -82,15 +82,17 @@ def expanded_views(i):
 def expanded_views_own_list(i):
     """A mode with a list of its own keeps it as written and ignores the shared one."""
     shared = _views(i)
-    own = i.sql("SELECT 'dwi' AS mode, 'OWN_' || CAST(s_suppkey AS STRING) AS view FROM {supplier}")
+    own = i.sql("SELECT CASE WHEN s_suppkey >= 0 THEN 'dwi' END AS mode, 'OWN_' || CAST(s_suppkey AS STRING) AS view FROM {supplier}")
     missing = [f for f in shared.schema.fields if f.name != "view"]
     own = own.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
     return config_ops.expand_views(shared, own).select("mode", "view")
 
 
-_COLUMNS = """SELECT {name} AS view, c.column_name FROM {part}
-  JOIN (SELECT 'ID' AS column_name, 0 AS r UNION ALL SELECT 'client_name', 1 UNION ALL SELECT 'BRAND1', 2
-        UNION ALL SELECT 'brand2', 2) c ON p_partkey % 10 <> c.r""".replace("{name}", _NAME)
+# Column metadata: each view lacks one of four columns or none.
+_COLUMNS = " UNION ALL ".join(
+    f"SELECT {_NAME} AS view, '{column}' AS column_name FROM {{part}} WHERE p_partkey % 10 <> {lacking}"
+    for column, lacking in (("ID", 0), ("client_name", 1), ("BRAND1", 2), ("brand2", 2))
+)
 
 
 @query(
