@@ -55,13 +55,8 @@ def history(spark: SparkSession, base: str) -> DataFrame:
 
     Folders with another name, files that are no JSON and runs without results are left out.
     """
-    files = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "results.json")
-        .text(base)
-        .select("value", F.col("_metadata.file_path").alias("path"))
-    )
+    text = spark.read.text(base, wholetext=True, pathGlobFilter="results.json", recursiveFileLookup=True)
+    files = text.select("value", F.col("_metadata.file_path").alias("path"))
     return history_rows(files)
 
 
