@@ -7,13 +7,13 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from twinledger.functions.display import percent_text, shown_value
-from twinledger.functions.normalise import CellRules, cell_value, projection
+from twinledger.functions.normalise import CellRules, cell_projection, projection
 
 
 def cells(spark, values, rules=CellRules(), column="c"):
     df = spark.createDataFrame(list(enumerate(values)), "i int, v string")
-    out = df.select("i", cell_value(F.col("v"), column, rules).alias("v")).orderBy("i").collect()
-    return [r.v for r in out]
+    out = cell_projection(df.withColumnRenamed("v", column), rules, [column], ["i"]).orderBy("i").collect()
+    return [r[0] for r in out]
 
 
 # Cells and what they become under the default rules.

@@ -19,9 +19,10 @@ NULL_TOKENS = ("", "null", "\\n")
 
 NUMBER = r"^-?\d+(\.\d+)?$"
 WHOLE_UTC_TIMESTAMP = r"^(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2})(\.0+)?(\+00:?00|Z)?$"
-# Unicode white space plus the four ASCII separators; SQL trim removes spaces only.
-_BLANK = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-OUTER_BLANKS = rf"^{_BLANK}|{_BLANK}\z"
+# Fixed value: characters that count as white space around a cell; SQL trim removes spaces only.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + (
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Digits a quantised number may have before it is left as it was.
 MAX_DIGITS = 28
@@ -119,35 +120,48 @@ def _quantised(text: Column, scale: int) -> Column:
     return F.when(rounded.isNull() | (digits > MAX_DIGITS), text).otherwise(signed)
 
 
-def cell_value(col: Column, column: str, rules: CellRules = CellRules()) -> Column:
-    """Comparison form of one CSV cell, the rules applied in their fixed order."""
-    s = F.regexp_replace(col, OUTER_BLANKS, "") if rules.trim_text else col
-    token = F.lower(s).isin([t.lower() for t in rules.null_tokens]) if rules.null_tokens else F.lit(False)
+def _without_utc(s: Column) -> Column:
+    """Timestamps without a zero fraction and UTC suffix; shorter text cannot be one."""
+    return F.when(F.length(s) >= 19, F.regexp_replace(s, WHOLE_UTC_TIMESTAMP, "$1")).otherwise(s)
+
 
-    v = F.regexp_replace(s, WHOLE_UTC_TIMESTAMP, "$1") if rules.normalise_timestamps else s
-    is_number = v.rlike(NUMBER)
-    plain = F.when(
-        is_number & v.contains("."), F.regexp_replace(v, r"\.?0+$", "")
-    ).otherwise(v)
+def _compared(s: Column, v: Column, column: str, rules: CellRules) -> Column:
+    """The rules after trimming (``s``) and timestamps (``v``), in their fixed order."""
+    token = F.lower(s).isin([t.lower() for t in rules.null_tokens]) if rules.null_tokens else F.lit(False)
+    plain = F.when(v.contains(".") & v.rlike(NUMBER), F.regexp_replace(v, r"\.?0+$", "")).otherwise(v)
     if rules.case_insensitive:
         plain = F.lower(plain)
     if rules.numeric_scale is not None:
-        plain = F.when(is_number, _quantised(v, int(rules.numeric_scale))).otherwise(plain)
+        plain = F.when(v.rlike(NUMBER), _quantised(v, int(rules.numeric_scale))).otherwise(plain)
     if rules.normalise_booleans:
         # 1 and 0 are flags only in the columns named for it: anywhere else an id of 1 would turn into "true".
         flagged = column.lower() in {c.lower() for c in rules.boolean_columns}
         yes, no = (TRUE_WORDS + ("1",), FALSE_WORDS + ("0",)) if flagged else (TRUE_WORDS, FALSE_WORDS)
-        plain = (
-            F.when(F.lower(v).isin(*yes), F.lit("true")).when(F.lower(v).isin(*no), F.lit("false")).otherwise(plain)
-        )
+        word = F.lower(v)
+        plain = F.when(word.isin(*yes), F.lit("true")).when(word.isin(*no), F.lit("false")).otherwise(plain)
     if rules.blank_as_null:
         return F.when(~token, plain)
     return F.when(token, s).otherwise(plain)
 
 
-def cell_projection(df: DataFrame, rules: CellRules, drop: Iterable[str] = ()) -> DataFrame:
-    """All cells of an extract in comparison form."""
-    dropped = set(drop)
-    return df.select(
-        *[cell_value(quoted(c), c, rules).alias(c) for c in df.columns if c not in dropped]
+def cell_projection(
+    df: DataFrame, rules: CellRules = CellRules(), columns: Iterable[str] | None = None, carry: Iterable[str] = ()
+) -> DataFrame:
+    """Cells of an extract in comparison form, next to the columns in ``carry`` as they are.
+
+    Trimming and timestamps are steps of their own, so their results are computed once per cell although
+    the later rules look at them several times.
+    """
+    names = list(columns if columns is not None else df.columns)
+    kept = [quoted(c) for c in carry]
+    at = range(len(names))
+    trimmed = df.select(
+        *[(F.btrim(quoted(c), F.lit(BLANKS)) if rules.trim_text else quoted(c)).alias(f"s{i}") for i, c in enumerate(names)],
+        *kept,
+    )
+    if rules.normalise_timestamps:
+        trimmed = trimmed.select("*", *[_without_utc(F.col(f"s{i}")).alias(f"v{i}") for i in at])
+    values = [F.col(f"v{i}" if rules.normalise_timestamps else f"s{i}") for i in at]
+    return trimmed.select(
+        *[_compared(F.col(f"s{i}"), values[i], c, rules).alias(c) for i, c in enumerate(names)], *kept
     )

@@ -232,12 +232,12 @@ def fan_out_counts(c: Comparison, dups: DataFrame) -> DataFrame:
     """
     left, right = _marked(c, dups)
     single = mismatch_counts(c, _join_single(c, left, right))
-    values = stored(
-        side_counts(
-            _cells(c, _repeated(left), "l"), _cells(c, _repeated(right), "r"), [*c.key_names, "i", "v"]
-        ),
-        "fan-out-values",
+    values = side_counts(
+        _cells(c, _repeated(left), "l"), _cells(c, _repeated(right), "r"), [*c.key_names, "i", "v"]
     )
+    if c.has_where:
+        # Each predicate looks at its own column's values again.
+        values = stored(values, "fan-out-values", by="i")
     l, r = F.col(LEFT_N).cast(T.DecimalType(19, 0)), F.col(RIGHT_N).cast(T.DecimalType(19, 0))
     per_cell = values.groupBy(*c.key_names, "i").agg(
         F.sum(l).cast(T.DecimalType(19, 0)).alias("ln"),
@@ -299,7 +299,8 @@ def _fan_out_residual(c: Comparison, values: DataFrame, i: int) -> DataFrame:
         )
         return picked.groupBy(*picked.columns[:-1]).agg(F.sum(n).cast(T.DecimalType(19, 0)).alias(n))
 
-    def skeleton() -> Column:
+    def unexplained_if(equal: str) -> Column:
+        """Outcome of the whole predicate, given that of its equality of terms."""
         seen, sql = {"left": 0, "right": 0}, []
         for p in parts:
             if not isinstance(p, Condition) or not p.sides:
@@ -309,7 +310,7 @@ def _fan_out_residual(c: Comparison, values: DataFrame, i: int) -> DataFrame:
                 sql.append(f"{side}_{seen[side]}")
                 seen[side] += 1
             else:
-                sql.append(p.on("left_term", "right_term") if by_value else "equal_terms")
+                sql.append(p.on("left_term", "right_term") if by_value else equal)
         outcome = F.expr(" ".join(sql)) if sql else F.lit(False)
         return ~F.coalesce(outcome, F.lit(c.null_explains))
 
@@ -330,10 +331,8 @@ def _fan_out_residual(c: Comparison, values: DataFrame, i: int) -> DataFrame:
 
         all_pairs = join_on(
             without_term(left, "left", "ln"), without_term(right, "right", "rn"), c.key_names, c.null_safe, "inner"
-        ).withColumn(
-            "equal_terms", F.when(~(F.col("left_null") | F.col("right_null")), F.lit(False))
-        )
-    sums = [total(all_pairs.where(skeleton()), pairs)]
+        ).withColumn("none_equal", F.when(~(F.col("left_null") | F.col("right_null")), F.lit(False)))
+    sums = [total(all_pairs.where(unexplained_if("none_equal")), pairs)]
     if by_term:
         met = join_on(
             left.withColumn("term", F.col("left_term")).dropna(subset=["term"]),
@@ -342,9 +341,8 @@ def _fan_out_residual(c: Comparison, values: DataFrame, i: int) -> DataFrame:
             c.null_safe,
             "inner",
         )
-        for value, sign in ((True, 1), (False, -1)):
-            outcome = met.withColumn("equal_terms", F.lit(value)).where(skeleton())
-            sums.append(total(outcome, pairs * F.lit(sign)))
+        change = unexplained_if("true").cast("int") - unexplained_if("false").cast("int")
+        sums.append(total(met, pairs * change))
     same = explained(predicate, "v", "v", c.null_explains)
     equal = F.col(LEFT_N).cast(T.DecimalType(19, 0)) * F.col(RIGHT_N).cast(T.DecimalType(19, 0))
     sums.append(total(rows.where(~same), -equal))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from twinledger.functions.normalise import CellRules, cell_projection, cell_value
+from twinledger.functions.normalise import CellRules, cell_projection
 from twinledger.functions.predicates import explained, usable
 from twinledger.plans.ladders import Settings, ViewSpec, gather, run_all, run_extracts, run_tables
 from twinledger.queries.registry import query
@@ -48,8 +48,7 @@ CELLS = ["flag", "status", "amount", "modified", "priority"]
 )
 def cell_normalise(i):
     rules = CellRules(boolean_columns=("FLAG",))
-    t = i["rendered_cells"]
-    return t.select("o_orderkey", *[cell_value(F.col(c), c, rules).alias(c) for c in CELLS])
+    return cell_projection(i["rendered_cells"], rules, CELLS, ["o_orderkey"])
 
 
 @query(
@@ -60,8 +59,7 @@ def cell_normalise(i):
 )
 def cell_normalise_options(i):
     rules = CellRules(blank_as_null=False, case_insensitive=True, normalise_booleans=False, normalise_timestamps=False)
-    t = i["rendered_cells"]
-    return t.select("o_orderkey", *[cell_value(F.col(c), c, rules).alias(c) for c in CELLS])
+    return cell_projection(i["rendered_cells"], rules, CELLS, ["o_orderkey"])
 
 
 @query(
@@ -79,7 +77,7 @@ def cell_numeric_scale(i):
              WHEN k = 2 THEN CAST(n AS STRING) || '.134999999999999999999999999999' ELSE 'x' || CAST(n AS STRING) || '.125' END
              AS amount FROM (SELECT o_orderkey, o_orderkey % 4 AS k, o_custkey AS n FROM {orders}) t"""
     )
-    return cells.select("o_orderkey", cell_value(F.col("amount"), "amount", CellRules(numeric_scale=2)).alias("amount"))
+    return cell_projection(cells, CellRules(numeric_scale=2), ["amount"], ["o_orderkey"])
 
 
 @query(
