@@ -102,11 +102,14 @@ def test_results_and_samples_round_trip(spark, tmp_path):
     result_ops.write_samples(run.samples, folder)
     rows = spark.read.option("header", True).csv(f"{folder}/samples").collect()
     assert len(rows) == 3 and {(r.view, r.tier, r.column) for r in rows} == {("my view", "T3", "v")}
-    matrix = status_ops.tier_matrix(run.tiers, ["view"], "T").join(run.views.select("view", "verdict", "notes"), "view")
-    result_ops.write_report(matrix, folder, "Run", ["T0", "T1", "T2", "T3", "T4"], ["view"])
+    result_ops.write_report(run.tiers, run.columns, run.views, folder, "Run", ["T0", "T1", "T2", "T3", "T4"])
     lines = [r.value for r in spark.read.text(f"{folder}/summary").collect()]
-    assert any(line.startswith("| my view | PASS | PASS | PASS | FAIL | SKIPPED | DIFFS FOUND |") for line in lines)
-
+    assert lines[:2] == ["# Run", "| View | T0 | T1 | T2 | T3 | T4 | Verdict | Notes |"]
+    assert lines[3] == "| my view | PASS | PASS | PASS | FAIL | SKIPPED | DIFFS FOUND |  |"
+    assert lines[4:] == [
+        "## Grain coverage", "## Details", "### my view - DIFFS FOUND", "- T2 row counts: 50 vs 50 (diff +0)",
+        "- T2 one-sided: 0 left, 0 right", "- T3 `v`=5 [FAIL]",
+    ]
 
 
 def test_history_of_all_payload_shapes(spark, tmp_path):

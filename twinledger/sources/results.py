@@ -7,6 +7,8 @@ bare list from the model ladder.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 RUN_NAME = r"results_[0-9]{8}_[0-9]{4}"
@@ -34,20 +36,72 @@ def write_samples(samples: DataFrame, folder: str) -> None:
     )
 
 
-def write_report(matrix: DataFrame, folder: str, title: str, tiers: list[str], by: list[str]) -> None:
-    """The tier matrix as a Markdown table, its lines built by Spark and written in view order."""
-    head = [*by, *tiers, "verdict", "notes"]
+def report_lines(tiers: DataFrame, columns: DataFrame, views: DataFrame, names: list[str]) -> DataFrame:
+    """Lines of a Markdown report ``(section, position, line, value)``: matrix, views without grain, details.
+
+    ``views`` has one row per view with ``position``, ``verdict``, ``no_grain`` and ``notes``; all lines follow the
+    configured order of views.
+    """
+    by = ["mode", "tenant", "view"]
+    at = views.select(*by, "position")
+    label = F.concat(F.col("view"), F.when(F.length("tenant") > 0, F.concat(F.lit(" ("), "tenant", F.lit(")"))).otherwise(F.lit("")))
+
+    def lines(df: DataFrame, section: int, line: int, value) -> DataFrame:
+        return df.select(
+            F.lit(section).alias("section"), "position", F.lit(line).alias("line"), value.alias("value")
+        ).where(F.col("value").isNotNull())
+
+    wide = tiers.groupBy(*by).pivot("tier", names).agg(F.first("status"))
+    matrix = views.join(wide, by, "left")
+    cells = [label, *[F.coalesce(n, F.lit("-")) for n in names], F.col("verdict"), F.array_join("notes", "; ")]
+    row = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    without = views.where(F.coalesce("no_grain", F.lit(False)))
+    each = tiers.join(at, by)
+
+    def number(c: str):
+        return F.format_number(F.col(c).cast("decimal(38,0)"), 0)
+
+    counted = each.where(F.col("left_rows").isNotNull())
+    rows = F.concat(
+        F.lit("- "), "tier", F.lit(" row counts: "), number("left_rows"), F.lit(" vs "), number("right_rows"),
+        F.lit(" (diff "), F.format_string("%+,d", F.col("left_rows") - F.col("right_rows")), F.lit(")"),
+    )
+    keyed = each.where(F.col("left_only").isNotNull())
+    keys = F.concat(
+        F.lit("- "), "tier", F.lit(" one-sided: "), number("left_only"), F.lit(" left, "), number("right_only"), F.lit(" right")
+    )
+    mark = F.when(F.col("residual").isNotNull(), F.concat(F.lit(" (residual "), number("residual"), F.lit(")"))).otherwise(F.lit(""))
+    why = F.when(F.col("reason").isNotNull(), F.concat(F.lit(": "), "reason")).otherwise(F.lit(""))
+    column = F.concat(
+        F.lit("- "), "tier", F.lit(" `"), "column", F.lit("`="), number("mismatches"), mark, F.lit(" ["), "status", F.lit("]"), why
+    )
+    noted = views.select("position", F.explode("notes").alias("note"))
+    return reduce(
+        DataFrame.unionByName,
+        [
+            lines(matrix, 1, 0, row),
+            lines(without, 2, 0, F.concat(F.lit("- no grain: "), label)),
+            lines(views, 3, 0, F.concat(F.lit("### "), label, F.lit(" - "), "verdict")),
+            lines(counted, 3, 1, rows),
+            lines(keyed, 3, 2, keys),
+            lines(columns.join(at, by), 3, 3, column),
+            lines(noted, 3, 4, F.concat(F.lit("- ! "), "note")),
+        ],
+    )
 
-    def cell(c: str):
-        return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-"))
 
-    line = F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(c) for c in head]), F.lit(" |"))
-    top = [f"# {title}", "", "| " + " | ".join(head) + " |", "|" + "---|" * len(head)]
-    spark = matrix.sparkSession
-    lines = spark.createDataFrame([(0, i, t) for i, t in enumerate(top)], "part int, at long, value string")
-    body = matrix.select(F.lit(1).alias("part"), F.monotonically_increasing_id().alias("at"), line.alias("value"))
-    ordered = lines.unionByName(body).orderBy("part", "at").select("value")
-    ordered.write.mode("errorifexists").text(f"{folder.rstrip('/')}/summary")
+def write_report(
+    tiers: DataFrame, columns: DataFrame, views: DataFrame, folder: str, title: str, names: list[str]
+) -> None:
+    """The report as text below ``folder``; ``names`` are the tiers shown."""
+    head = ["View", *names, "Verdict", "Notes"]
+    top = [
+        (0, 0, 0, f"# {title}"), (0, 0, 1, "| " + " | ".join(head) + " |"), (0, 0, 2, "|" + "---|" * len(head)),
+        (2, -1, 0, "## Grain coverage"), (3, -1, 0, "## Details"),
+    ]
+    fixed = views.sparkSession.createDataFrame(top, "section int, position int, line int, value string")
+    ordered = fixed.unionByName(report_lines(tiers, columns, views, names)).orderBy("section", "position", "line", "value")
+    ordered.select("value").write.mode("errorifexists").text(f"{folder.rstrip('/')}/summary")
 
 
 def history(spark: SparkSession, base: str) -> DataFrame:
