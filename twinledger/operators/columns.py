@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from twinledger.functions.normalise import groupable, quoted, table_value
 from twinledger.functions.predicates import Condition, Predicate, explained, usable
-from twinledger.operators.fingerprint import cell_text
+from twinledger.operators.fingerprint import cell_text, shown_text
 from twinledger.operators.joins import join_on, mark_keys
 from twinledger.operators.keys import LEFT_N, RIGHT_N, side_counts
 from twinledger.sources.storage import stored
@@ -264,7 +264,11 @@ def fan_out_counts(c: Comparison, dups: DataFrame) -> DataFrame:
 
 def _typed(text: Column, dtype: T.DataType) -> Column:
     """Inverse of the text a value was grouped by."""
-    return F.unhex(text) if isinstance(dtype, T.BinaryType) else text.cast(dtype)
+    if isinstance(dtype, T.BinaryType):
+        return F.unhex(text)
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(text.cast("bigint"))
+    return text.cast(dtype)
 
 
 def _fan_out_residual(c: Comparison, values: DataFrame, i: int) -> DataFrame:
@@ -475,8 +479,8 @@ def column_samples(
             F.struct(
                 F.lit(name).alias("column"),
                 unexplained(c, i).alias("differs"),
-                cell_text(F.col(f"l{i}"), aligned.schema[f"l{i}"].dataType).alias("left_value"),
-                cell_text(F.col(f"r{i}"), aligned.schema[f"r{i}"].dataType).alias("right_value"),
+                shown_text(F.col(f"l{i}"), aligned.schema[f"l{i}"].dataType).alias("left_value"),
+                shown_text(F.col(f"r{i}"), aligned.schema[f"r{i}"].dataType).alias("right_value"),
             )
             for i, name in enumerate(c.columns)
             if name in set(names)

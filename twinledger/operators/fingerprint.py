@@ -17,9 +17,16 @@ def cell_text(col: Column, dtype: T.DataType) -> Column:
         return (col + F.lit(0.0).cast(dtype)).cast("string")  # -0.0 becomes 0.0
     if isinstance(dtype, T.BinaryType):
         return F.hex(col)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col).cast("string")  # clock text repeats when clocks are put back
     return col.cast("string")
 
 
+def shown_text(col: Column, dtype: T.DataType) -> Column:
+    """Text of a value for people."""
+    return F.hex(col) if isinstance(dtype, T.BinaryType) else col.cast("string")
+
+
 def _tagged(text: Column) -> Column:
     # The length in front keeps neighbouring cells apart whatever they contain; NULL has no length.
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))

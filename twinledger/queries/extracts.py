@@ -306,3 +306,68 @@ def ladder_views(i):
 def ladder_model_tiers(i):
     """Tier rows of the model ladder with all their counts."""
     return _table_run(i, "T").tiers.drop("mode", "tenant")
+
+
+def _tiers_sql(left, right, keys, columns):
+    """Tier rows of ladder T for a pair with a usable grain, threshold 0.1 percent."""
+    k = ", ".join(keys)
+    differs = " OR ".join(f"p.{c} IS DISTINCT FROM u.{c}" for c in columns)
+    worst = ", ".join(f"count(*) FILTER (WHERE p.{c} IS DISTINCT FROM u.{c})" for c in columns)
+
+    def judged(n, base):
+        return f"CASE WHEN {n} = 0 THEN 'PASS' WHEN 100.0 * {n} / {base} <= 0.1 THEN 'ACCEPTED' ELSE 'FAIL' END"
+
+    return f"""WITH p AS (SELECT * FROM {left} a), u AS (SELECT * FROM {right} b),
+ n AS (SELECT *, greatest(l, r) AS base FROM (SELECT (SELECT count(*) FROM p) AS l, (SELECT count(*) FROM u) AS r,
+   (SELECT count(*) FROM (SELECT {k} FROM p GROUP BY {k} HAVING count(*) > 1) x) AS ld,
+   (SELECT count(*) FROM (SELECT {k} FROM u GROUP BY {k} HAVING count(*) > 1) x) AS rd,
+   (SELECT count(*) FROM (SELECT {k} FROM p EXCEPT SELECT {k} FROM u) x) AS lo,
+   (SELECT count(*) FROM (SELECT {k} FROM u EXCEPT SELECT {k} FROM p) x) AS ro,
+   (SELECT count(*) FROM (SELECT {k} FROM p INTERSECT SELECT {k} FROM u) x) AS s) m),
+ j AS (SELECT count(*) AS pairs, count(*) FILTER (WHERE {differs}) AS bad, greatest({worst}) AS worst FROM p JOIN u USING ({k}))
+ SELECT 'T0' AS tier, 'PASS' AS status, NULL AS left_rows, NULL AS right_rows, NULL AS left_only, NULL AS right_only,
+   NULL AS shared, NULL AS left_dups, NULL AS right_dups, NULL AS denominator
+ UNION ALL SELECT 'T1', {judged('greatest(ld, rd)', 'base')}, NULL, NULL, NULL, NULL, NULL, ld, rd, base FROM n
+ UNION ALL SELECT 'T2', {judged('greatest(lo, ro)', 'base')}, l, r, lo, ro, s, NULL, NULL, base FROM n
+ UNION ALL SELECT 'T3', {judged('worst', 'pairs')}, NULL, NULL, NULL, NULL, pairs, NULL, NULL, NULL FROM j
+ UNION ALL SELECT 'T4', CASE WHEN bad > 0 THEN 'SKIPPED' END, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM j"""
+
+
+def _tiers(i, left, right, keys):
+    run = run_tables(i.spark, "T", ViewSpec("v", grain=keys), i[left], i[right], SETTINGS)
+    return gather(i.spark, [run]).tiers.select(
+        "tier", "status", "left_rows", "right_rows", "left_only", "right_only", "shared", "left_dups", "right_dups",
+        "denominator",
+    )
+
+
+_ORDERS = """(SELECT o_orderkey, o_custkey, NULLIF(o_orderstatus, '') AS o_orderstatus, o_totalprice, o_orderdate,
+  o_orderpriority FROM {%s} t)"""
+
+
+@query(
+    "ladder_model_orders",
+    _tiers_sql(
+        _ORDERS % "orders", _ORDERS % "orders_right", ("o_orderkey",),
+        ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+    ),
+)
+def ladder_model_orders(i):
+    """Tier rows of a pair with a unique grain."""
+    return _tiers(i, "orders", "orders_right", ("o_orderkey",))
+
+
+# A grain that some keys repeat, few enough to be accepted.
+_LINES_GRAIN = ("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query(
+    "ladder_model_repeated_keys",
+    _tiers_sql(
+        "{lineitem}", "{lineitem_right}", _LINES_GRAIN,
+        ("l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
+    ),
+)
+def ladder_model_repeated_keys(i):
+    """Tier rows of a pair whose grain repeats within the threshold: the column tier counts pairs."""
+    return _tiers(i, "lineitem", "lineitem_right", _LINES_GRAIN)
