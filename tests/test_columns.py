@@ -46,6 +46,24 @@ def joined_counts(c):
     return sorted(map(tuple, col_ops.mismatch_counts(c, pairs).collect()))
 
 
+ORDERED = {
+    "num": "prod_value < uat_value and prod_value <> 1.4",
+    "txt": "uat_value >= prod_value or prod_value is null",
+    "day": "not prod_value > uat_value or date(uat_value) = '2024-01-02'",
+    "amount": "prod_value <> uat_value and uat_value > 0.25",
+}
+# Conditions that only pairs of values can answer.
+FARTHER = {"num": "abs(prod_value - uat_value) <= 1", "amount": "prod_value = uat_value or prod_value < uat_value"}
+
+
+@pytest.mark.parametrize("where", [ORDERED, FARTHER])
+def test_comparisons_across_the_sides(spark, where):
+    c = col_ops.compare(table(spark, 7), table(spark, 8), ["k1"], where=where, null_safe=True)
+    assert not c.notes
+    got = sorted(map(tuple, col_ops.column_diff(c).collect()))
+    assert got == joined_counts(c) and sum(r[4] or 0 for r in got) > 0
+
+
 @pytest.mark.parametrize("null_safe", [False, True])
 @pytest.mark.parametrize("null_explains", [False, True])
 def test_repeated_keys_count_like_the_join(spark, null_safe, null_explains):
@@ -135,7 +153,13 @@ def test_ranking_puts_predicate_columns_first(spark):
 def test_conditions_know_their_sides():
     p = read("(prod_value = 'a' or uat_value is null) and date(prod_value) = date(uat_value)")
     assert [sorted(c.sides) for c in p.conditions] == [["left"], ["right"], ["left", "right"]]
-    assert p.conditions[2].equates is not None
+    assert p.conditions[2].compares[0] == "="
     assert [c.sql for c in read("prod_value between 1 and 2 and not uat_value = 3").conditions] == [
         "\x01 between 1 and 2", "\x02 = 3",
     ]
+
+
+def test_not_a_number_is_a_key_like_any_other(spark):
+    left = spark.createDataFrame([(float("nan"), 1), (2.0, 1), (None, 1)], "k double, v int")
+    row = col_ops.column_diff(col_ops.compare(left, left.withColumn("v", F.lit(2)), ["k"])).first()
+    assert (int(row.shared), int(row.mismatches)) == (2, 2)

@@ -31,6 +31,8 @@ _TOKEN = re.compile(
     r"|(?P<sign>::|==|<=|>=|<>|!=|[=<>+\-*/(),]))"
 )
 _COMPARES = {"=", "==", "<", ">", "<=", ">=", "<>", "!="}
+# Comparisons, and what they read like with both sides exchanged.
+_MIRRORED = {"=": "=", "<>": "<>", "<": ">", "<=": ">=", ">": "<", ">=": "<="}
 _L, _R = "\x01", "\x02"  # stand for the two values until their columns are known
 
 
@@ -52,9 +54,12 @@ class Piece:
 
 @dataclass(frozen=True)
 class Condition(Piece):
-    """A condition between boolean words; ``equates`` holds both terms of ``left term = right term``."""
+    """A condition between boolean words.
 
-    equates: tuple[Piece, Piece] | None = None
+    ``compares`` is set for ``left term <operator> right term``: the operator, seen from the left, and both terms.
+    """
+
+    compares: tuple[str, Piece, Piece] | None = None
 
 
 @dataclass(frozen=True)
@@ -175,11 +180,12 @@ def _conditions(pieces: list[Piece]) -> list[Piece]:
         if run:
             sides = frozenset().union(*[p.sides for p in run])
             terms = None
-            if len(run) == 3 and run[1].sql == "=" and {run[0].sides, run[2].sides} == {
+            if len(run) == 3 and run[1].sql in _MIRRORED and {run[0].sides, run[2].sides} == {
                 frozenset({"left"}), frozenset({"right"})
             }:
-                terms = (run[0], run[2]) if "left" in run[0].sides else (run[2], run[0])
-            out.append(Condition(" ".join(p.sql for p in run), sides, equates=terms))
+                first, sign, second = run[0], run[1].sql, run[2]
+                terms = (sign, first, second) if "left" in first.sides else (_MIRRORED[sign], second, first)
+            out.append(Condition(" ".join(p.sql for p in run), sides, compares=terms))
             run.clear()
 
     for p in pieces:
