@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from twinledger.llm.common import columns_of, map_batches, small_batches
-from twinledger.llm.tokens import CUT, KEPT, KEPT_LENGTH, UNSAFE, in_steps
+from twinledger.llm.tokens import KEPT, KEPT_LENGTH, cut, in_steps
 
 
 class MinimalPerfectHash:
@@ -105,10 +105,7 @@ class RankEncoder:
             self.old, self.young = self.young, {}
         known, out = self.young, []
         for text in texts:
-            if UNSAFE.search(text):
-                out.append(self.part(text))
-                continue
-            parts = text.replace(" ", "\0 ").split("\0") if "\0" not in text else CUT.split(text)
+            parts = cut(text)
             long = []
             for p in set(parts).difference(known):
                 known[p] = self.old.get(p) or self.part(p)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from twinledger.llm.common import columns_of, held_out_column, map_batches, small_batches
 from twinledger.sources.storage import stored
 
-PER_LANGUAGE = 1500
+PER_LANGUAGE = 1000
 CENTROIDS = 4
 DIMENSIONS = 1 << 13
 ORDERS = (1, 2, 3)
@@ -110,8 +110,8 @@ class Languages:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> Languages:
     """Learn from rows of the training fold with a language and a text; null ids teach nothing.
 
-    ``per_language`` bounds what reaches the driver: so many vectors of ``DIMENSIONS`` numbers per language, summed up
-    language by language.  Ids that repeat teach with each of their rows as long as the bound allows.
+    ``per_language`` bounds what reaches the driver: so many vectors of ``DIMENSIONS`` numbers of one language at a
+    time.  Ids that repeat teach with each of their rows as long as the bound allows.
     """
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(~held_out_column())
     ranked = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h"))
@@ -133,19 +133,23 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENT
 
     sample = stored(map_batches(texts, vectors, "lang string, place array<int>, n array<float>"), "language-vectors")
     found = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
-    frequency, rows_seen, by_language = np.zeros(DIMENSIONS), 0, {}
-    for lang in found:
+
+    def matrix(lang: str) -> np.ndarray:
         part = sample.where(F.col("lang") == lang).limit(per_language).toArrow()
         x = np.zeros((part.num_rows, DIMENSIONS), "float32")
         for i, (p, n) in enumerate(zip(part["place"], part["n"])):
             x[i, p.values.to_numpy()] = n.values.to_numpy()
+        return x
+
+    frequency, rows_seen = np.zeros(DIMENSIONS), 0
+    for lang in found:  # one language's vectors at a time are on the driver
+        x = matrix(lang)
         frequency += (x > 0).sum(0)
         rows_seen += len(x)
-        by_language[lang] = np.sqrt(x)
     idf = (np.log((1 + rows_seen) / (1 + frequency)) + 0.1).astype("float32")
     names, all_centroids, language, nearest = [], [], [], []
-    for lang, x in by_language.items():
-        x = unit(x * idf)
+    for lang in found:
+        x = unit(np.sqrt(matrix(lang)) * idf)
         c = cluster(x, centroids)
         names.append(lang)
         all_centroids.append(c)

@@ -1,22 +1,37 @@
 """Token ids of a public byte-level vocabulary, from the ``tokenizers`` library.
 
 The vocabulary's pre-tokens never hold a space behind another character, so a text may be cut before any space that
-follows a non-space and its parts encoded on their own.  Parts repeat: each worker asks the library once per part
-and keeps the answer, in two generations of bounded size.
+follows a non-space and its parts encoded on their own.  Parts repeat: each worker asks the library's model
+once per part, pre-token by pre-token, and keeps the answer, in two generations of bounded size.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
-import numpy as np
+import regex
+from public_tokenizers import PATTERN
 
 #: A space between two white-space characters, or behind one at the end: here a cut would part a pre-token.
 UNSAFE = re.compile(r"\s (?!\S)")
-CUT = re.compile(r"(?= )")
+# The byte-level alphabet gives printable Latin-1 bytes their own letter, all others one from 256 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+LETTER_OF_BYTE = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
+CUT = re.compile(r"(?<=\S)(?= )")
+
+
+def cut(text: str) -> list[str]:
+    """Parts of a text that share no pre-token; joined they are the text."""
+    if "\0" in text or UNSAFE.search(text):
+        return CUT.split(text)
+    return text.replace(" ", "\0 ").split("\0")
+
+
 #: Parts kept in each of the two generations, and the longest part that is kept.
-KEPT, KEPT_LENGTH = 400_000, 64
+KEPT, KEPT_LENGTH = 600_000, 64
 
 
 class PartEncoder:
@@ -26,45 +41,50 @@ class PartEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.model = Tokenizer.from_file(path).model
+        self.pattern = regex.compile(PATTERN)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _ask(self, part: str) -> bytes:
+        """Ids of one part: the library's model on each pre-token.  A word with or without a space before it is one."""
+        pieces = [part]
+        if not part.isalpha() and not (part[:1] == " " and part[1:].isalpha()):
+            pieces = self.pattern.findall(part)
+        if len(pieces) == 1:
+            piece = part.encode().decode("latin-1").translate(LETTER_OF_BYTE)
+            return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        return b"".join([self.young.get(p) or self._ask(p) for p in pieces])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        parts: list[list[str] | None] = []
-        whole = []
-        for i, text in enumerate(texts):
-            if UNSAFE.search(text):
-                whole.append(i)
-                parts.append(None)
-            else:
-                # A mark before every space; a text that holds the mark itself is cut by the pattern.
-                parts.append(text.replace(" ", "\0 ").split("\0") if "\0" not in text else CUT.split(text))
-        for i, ids in zip(whole, self._ask([texts[i] for i in whole])):
-            out[i] = ids
         if len(self.young) > KEPT:
             self.old, self.young = self.young, {}
-        known = self.young
-        new = set().union(*[p for p in parts if p]).difference(known)
-        for part in new & self.old.keys():
-            known[part] = self.old[part]
-        new -= known.keys()
-        new = list(new)
-        for part, ids in zip(new, self._ask(new)):
-            known[part] = ids
-        for i, cut in enumerate(parts):
-            if cut is not None:
-                out[i] = b"".join(map(known.__getitem__, cut))
+        known, older = self.young, self.old
+        done, waiting, new = [], [], set()
+        for text in texts:
+            parts = cut(text)
+            found = list(map(known.get, parts))
+            if None in found:
+                places = [i for i, ids in enumerate(found) if ids is None]
+                missed = [parts[i] for i in places]
+                new.update(missed)
+                waiting.append((len(done), found, places, missed))
+                done.append(None)
+            else:
+                done.append(b"".join(found))
+        again = [(part, older[part]) for part in new if part in older]
+        known.update(again)
+        new.difference_update([part for part, _ in again])
+        for part in sorted(new, key=len):  # words alone come before words with signs behind them
+            known[part] = self._ask(part)
+        for at, found, places, missed in waiting:
+            for i, part in zip(places, missed):
+                found[i] = known[part]
+            done[at] = b"".join(found)
         for part in new:
             if len(part) > KEPT_LENGTH:
                 del known[part]
-        return out
+        return done
 
 
 _ENCODERS: dict[str, PartEncoder] = {}
@@ -77,7 +97,7 @@ def encoder(path: str) -> PartEncoder:
     return _ENCODERS[path]
 
 
-def in_steps(texts: list[str], characters: int = 2_000_000):
+def in_steps(texts: list[str], characters: int = 400_000):
     """Ranges of ``texts`` of about so many characters: bounds what is in memory at once."""
     start = size = 0
     for i, text in enumerate(texts):
