@@ -19,6 +19,8 @@ from twinledger.sources.storage import stored
 
 #: Fingerprints compared with each other in one bucket; larger buckets are dealt again.
 BUCKET = 2048
+#: Bits not yet used under which a bucket is not dealt again: it has at most 2^FREE distinct values.
+FREE = 11
 ALL_BITS = (1 << 64) - 1
 
 
@@ -146,7 +148,9 @@ def near_links(values: DataFrame, radius: int = 3, bucket: int = BUCKET) -> Data
     dealt = _deal(values.select("bits"), radius).withColumn("table", F.col("table").cast("long"))
     found = None
     while True:
-        large = dealt.groupBy("table", "key").count().where(F.col("count") > bucket).select("table", "key")
+        sizes = dealt.groupBy("table", "key").agg(F.count("*").alias("n"), F.min("used").alias("used"))
+        # With few bits left a bucket holds at most 2^FREE values, and masks over so few bits may not part them.
+        large = sizes.where((F.col("n") > bucket) & (64 - F.bit_count("used") > FREE)).select("table", "key")
         large = stored(large, "large-buckets")
         some = large.count()  # at most the number of rows dealt, divided by the bucket's size
         links = _in_buckets(dealt.join(large, ["table", "key"], "left_anti") if some else dealt, radius)
