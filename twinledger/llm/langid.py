@@ -22,7 +22,7 @@ DIMENSIONS = 1 << 13
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
 #: A text is rejected when its cosine is below this share of what all but one in a thousand training texts reach.
-REJECT = 0.25
+REJECT = 0.1
 #: Characters of a text that are counted at once.
 STEP = 1 << 18
 

@@ -166,7 +166,7 @@ def spelled(t: Mapped) -> None:
 
 
 def disguised(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Spans that only the transducers' output shows; none overlaps a known span of its kind."""
+    """Spans that only the transducers' output shows; a known span of its kind lies beside or properly inside it."""
     foreign = not text.isascii() and FOREIGN.search(text)
     words = text.lower().replace("-", " ").split()
     digits = sum(w.strip(",.") in DIGIT for w in words) >= RUN
@@ -188,7 +188,7 @@ def disguised(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, i
     for a, b, kind in base(t.text):
         if any(t.changed[a:b]):
             span = t.start[a], t.end[b - 1]
-            if all(span[1] <= x or y <= span[0] for x, y in taken[kind]):
+            if all(span[1] <= x or y <= span[0] or (span[0] <= x and y <= span[1] and span != (x, y)) for x, y in taken[kind]):
                 out.append((*span, kind))
     return out
 
