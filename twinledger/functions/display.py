@@ -8,16 +8,17 @@ from pyspark.sql import Column, functions as F
 SHOWN_CHARACTERS = 120
 
 
-def _div(a: Column, b: Column) -> Column:
-    return F.call_function("div", a, F.nullif(b, F.lit(0)))
-
-
 def percent_text(part: Column, whole: Column) -> Column:
     """``part`` of ``whole`` in percent, three decimals, trailing zeros removed; NULL without a whole."""
     # Thousandths of a percent in whole numbers, so that ties do not depend on binary fractions.
-    part, whole = part.cast("bigint"), whole.cast("bigint")
-    q = _div(part * F.lit(200000) + whole, whole * F.lit(2))
-    text = F.concat(_div(q, F.lit(1000)).cast("string"), F.lit("."), F.lpad((q % 1000).cast("string"), 3, "0"))
+    # Counts of pairs outgrow 64 bits: 32 digits leave room for the factor within the 38 of a decimal.
+    part, whole = part.cast("decimal(32,0)"), whole.cast("decimal(32,0)")
+    doubled = (part * F.lit(200000).cast("decimal(6,0)") + whole).cast("decimal(38,0)")
+    of = F.nullif((whole * F.lit(2).cast("decimal(1,0)")).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    q = ((doubled - doubled % of) / of).cast("decimal(38,0)")
+    thousandths = (q % F.lit(1000).cast("decimal(4,0)")).cast("int")
+    whole_part = ((q - thousandths.cast("decimal(38,0)")) / F.lit(1000).cast("decimal(4,0)")).cast("decimal(35,0)")
+    text = F.concat(whole_part.cast("string"), F.lit("."), F.lpad(thousandths.cast("string"), 3, "0"))
     return F.when(whole != 0, F.concat(F.regexp_replace(text, r"\.?0+$", ""), F.lit("%")))
 
 

@@ -105,6 +105,23 @@ def _call(name: str, inner: list[Piece], text_values: bool, half_even: bool) ->
     return Piece(sql, sides)
 
 
+ARITHMETIC = ("+", "-", "*", "/", "%")
+
+
+def _in_arithmetic(tokens: list[tuple[str, str]], i: int, open_calls: list[str]) -> bool:
+    """Is the name at ``i`` used as a number: next to an operator, in ``abs``, or before numbers in a range or list?"""
+
+    def at(j: int) -> tuple[str, str]:
+        return (tokens[j][0], tokens[j][1].lower()) if 0 <= j < len(tokens) else ("", "")
+
+    if at(i - 1)[1] in ARITHMETIC or at(i + 1)[1] in ARITHMETIC or "abs" in open_calls:
+        return True
+    j = i + 2 if at(i + 1)[1] == "not" else i + 1
+    if at(j)[1] == "between":
+        return at(j + 1)[0] == "number" or at(j + 1)[1] == "-"
+    return at(j)[1] == "in" and (at(j + 2)[0] == "number" or at(j + 2)[1] == "-")
+
+
 def read(text: str, text_values: bool = False, half_even: bool = False) -> Predicate:
     """Check a text against the allow-list and turn it into conditions.
 
@@ -138,7 +155,8 @@ def read(text: str, text_values: bool = False, half_even: bool = False) -> Predi
                 tokens[i + 2 * d][0] for d in (-1, 1)
                 if 0 <= i + 2 * d < len(tokens) and tokens[i + d][1] in _COMPARES
             }
-            sql = f"try_cast({mark} as double)" if text_values and "number" in beside else mark
+            numeric = "number" in beside or _in_arithmetic(tokens, i, open_calls)
+            sql = f"try_cast({mark} as double)" if text_values and numeric else mark
             here.append(Piece(sql, frozenset({side})))
         elif kind == "word":
             if low not in WORDS:

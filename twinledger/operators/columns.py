@@ -186,27 +186,6 @@ def _cells(c: Comparison, df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*c.key_names, F.inline(cells))
 
 
-def _cells(c: Comparison, df: DataFrame, prefix: str) -> DataFrame:
-    """Rows as (key, column position, value text)."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"), cell_text(F.col(f"{prefix}{i}"), df.schema[f"{prefix}{i}"].dataType).alias("v")
-            )
-            for i in range(len(c.columns))
-        ]
-    )
-    return df.select(*c.key_names, F.inline(cells))
-
-
-def _split_rows(c: Comparison, dups: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Left rows of keys that need no pairing and of repeated keys, then the same for the right."""
-    counted = dups.select(*c.key_names, (F.col(LEFT_N) + F.col(RIGHT_N)).alias("n"))
-    return *split_by_keys(c.left, counted, c.key_names, c.null_safe), *split_by_keys(
-        c.right, counted, c.key_names, c.null_safe
-    )
-
-
 def _marked(c: Comparison, dups: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``__listed`` for rows of repeated keys, and their salts."""
     counted = dups.select(*c.key_names, (F.col(LEFT_N) + F.col(RIGHT_N)).alias("n"))

@@ -48,8 +48,32 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return digest.agg(F.count(F.lit(1)).alias("rows"), lane(1).alias("lane_1"), lane(17).alias("lane_2"))
 
 
+def same_scale(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with one decimal type for decimal columns in the same place."""
+    if len(left.columns) != len(right.columns):
+        return left, right
+    common = []
+    for a, b in zip(left.schema.fields, right.schema.fields):
+        types = [f.dataType for f in (a, b)]
+        if types[0] == types[1] or not all(isinstance(t, T.DecimalType) for t in types):
+            common.append(None)
+            continue
+        scale = max(t.scale for t in types)
+        whole = max(t.precision - t.scale for t in types)
+        common.append(T.DecimalType(min(38, whole + scale), min(scale, max(0, 38 - whole))))
+
+    def side(df: DataFrame) -> DataFrame:
+        return df.select(*[quoted(n) if t is None else quoted(n).cast(t).alias(n) for n, t in zip(df.columns, common)])
+
+    return side(left), side(right)
+
+
 def fingerprint_compare(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One row: number of distinct fingerprints of the two sides; one means equal."""
+    """One row: number of distinct fingerprints of the two sides; one means equal.
+
+    Decimal columns in the same place are read with the digits of both, so that equal values agree.
+    """
+    left, right = same_scale(left, right)
     both = fingerprint(left).unionByName(fingerprint(right)).distinct()
     n = F.count(F.lit(1))
     return both.agg(

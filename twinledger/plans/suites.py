@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from twinledger.functions.normalise import CellRules
 from twinledger.plans import config as config_ops
-from twinledger.plans.ladders import LadderRun, Settings, ViewRun, ViewSpec, gather, run_all, run_extracts, run_tables
+from twinledger.plans.ladders import Job, LadderRun, Settings, ViewRun, ViewSpec, gather, run_all, run_extracts, run_tables
 from twinledger.sources import runs as run_ops
 from twinledger.sources.extracts import read_extract
 from twinledger.sources.tables import open_table, table_name
@@ -66,7 +66,7 @@ def _table_jobs(spark, ladder, entries, sides, open_side, settings, active, defa
         left, right = [open_side(side, spec.name) for side in sides]
         return run_tables(spark, ladder, spec, left, right, settings, active if spec.tenant_columns else None)
 
-    return [lambda e=e: job(e) for e in entries]
+    return [Job(ladder, str(e["name"]), lambda e=e: job(e)) for e in entries]
 
 
 def run_models(
@@ -202,7 +202,7 @@ def run_csv(
     by_name = {str(e["name"]).lower(): e for e in entries}
     options = dict(csv.get("normalisation") or {})
     settings = settings_from(cfg.get("defaults"), options)
-    reading = {k: csv[k] for k in ("encoding", "delimiter") if csv.get(k)}
+    reading = {k: csv[k] for k in ("encoding", "delimiter", "multi_line") if csv.get(k) is not None}
     for r in coverage.orderBy("tenant", "view").collect():
         if r.coverage != "shared":
             jobs.append(lambda r=r: blocked_view(spark, "C", r.view, r.note, r.tenant, "C0"))
@@ -210,9 +210,11 @@ def run_csv(
         entry = by_name.get(r.view, {"name": r.view})
         spec = ViewSpec.from_config({**entry, "name": r.view}, csv.get("default_grain") or (), options)
 
-        def job(spec=spec, r=r):
-            sides = [read_extract(spark, paths[r.tenant, r.view][side], **reading) for side in ("left", "right")]
+        own = {"multi_line": bool(entry["multi_line"])} if "multi_line" in entry else {}
+
+        def job(spec=spec, r=r, own=own):
+            sides = [read_extract(spark, paths[r.tenant, r.view][side], **(reading | own)) for side in ("left", "right")]
             return run_extracts(spark, spec, *sides, settings, r.tenant)
 
-        jobs.append(job)
+        jobs.append(Job("C", r.view, job, r.tenant))
     return run_all(spark, jobs, at_once)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -63,8 +64,10 @@ def read_extract(
 ) -> Extract:
     """Read all part files of a view.
 
-    Short rows are padded with NULL, long ones cut to the header, and both are marked.  An empty cell
-    within a row is blank text, a missing one is NULL.  With ``multi_line`` left open, a pass over the
+    Every part may have its own header: columns are matched by name, a column that only some parts have is
+    NULL elsewhere, and a first line that shares no name with the first part's header is data.  Short rows are
+    padded with NULL, long ones cut to the header, and both are marked; a blank line is a row without cells.  An
+    empty cell within a row is blank text, a missing one is NULL.  Line breaks in cells are read as LF.  With ``multi_line`` left open, a pass over the
     text decides whether cells contain line breaks; only then is a file read by one task.
     """
     paths = [paths] if isinstance(paths, str) else sorted(paths)
@@ -72,19 +75,37 @@ def read_extract(
         splittable = encoding.lower().replace("_", "-") in ("utf-8", "us-ascii", "iso-8859-1")
         multi_line = not splittable or has_line_breaks_in_cells(spark, paths)
     options = _options(delimiter, encoding, multi_line)
-    first = None
-    for path in paths:  # a file without any row has no header either; take the first that has one
+    paths = sorted(spark.read.text(list(paths)).inputFiles())  # a folder may hold several parts
+    parts: dict[tuple[str, ...] | None, list[str]] = {}  # header (none where the first line is data) and its files
+    header: tuple[str, ...] = ()
+    for path in paths:  # a file without any row has no header either
         top = spark.read.options(**options).csv(path, header=False).head(1)
         if top and len(top[0]):
-            first = top[0]
-            break
-    if first is None:
+            own = clean_header(list(top[0]))
+            header = header or own
+            known = bool(set(own) & set(header))
+            header += tuple(n for n in own if known and n not in header)
+            parts.setdefault(own if known else None, []).append(path)
+    if not header:
         empty = T.StructType(
             [T.StructField(RAGGED, T.BooleanType()), T.StructField(FILE, T.StringType())]
             + [T.StructField(c, T.LongType()) for c in (BLOCK, LINE)]
         )
         return Extract((), spark.createDataFrame([], empty))
-    header = clean_header(list(first))
+    names = tuple(dict.fromkeys(header))
+    first = next(iter(parts))  # its header is the one that parts without a header follow
+    frames = [
+        _part(spark, files, own or first, own is not None, names, options, delimiter, multi_line) for own, files in parts.items()
+    ]
+    df = reduce(DataFrame.unionByName, frames)
+    return Extract(header, df.withColumn(LINE, F.monotonically_increasing_id()))
+
+
+def _part(
+    spark: SparkSession, paths: list[str], header: tuple[str, ...], has_header: bool, names: tuple[str, ...], options: dict,
+    delimiter: str, multi_line: bool,
+) -> DataFrame:
+    """Rows of the files that share one header, with all columns of the view."""
     last = {name: i for i, name in enumerate(header)}
     schema = T.StructType(
         [T.StructField(f"c{i}", T.StringType()) for i in range(len(header))] + [T.StructField("__raw", T.StringType())]
@@ -92,22 +113,29 @@ def read_extract(
     raw = (
         spark.read.options(**options)
         .schema(schema)
-        .csv(paths, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="__raw")
+        .csv(paths, header=has_header, mode="PERMISSIVE", columnNameOfCorruptRecord="__raw")
     )
-    cells = [
-        F.when(F.col(f"c{i}").isNull() & (F.coalesce(_width(F.col("__raw"), delimiter), F.lit(i + 1)) > i), F.lit(""))
-        .otherwise(F.col(f"c{i}"))
-        .alias(name)
-        for name, i in last.items()
-    ]
-    df = raw.select(
+    def cell(name: str) -> Column:
+        if name not in last:
+            return F.lit(None).cast("string").alias(name)
+        i = last[name]
+        text = F.replace(F.col(f"c{i}"), F.lit("\r\n"), F.lit("\n")) if multi_line else F.col(f"c{i}")
+        blank = F.col(f"c{i}").isNull() & (F.coalesce(_width(F.col("__raw"), delimiter), F.lit(i + 1)) > i)
+        return F.when(blank, F.lit("")).otherwise(text).alias(name)
+
+    cells = [cell(name) for name in names]
+    place = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)]
+    rows = raw.select(
         *cells,
         F.col("__raw").isNotNull().alias(RAGGED),
-        F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias(BLOCK),
-        F.monotonically_increasing_id().alias(LINE),
+        *place,
     )
-    return Extract(header, df)
+    if multi_line:
+        return rows
+    # The CSV reader passes over blank lines; here none lies inside a cell.
+    lines = spark.read.option("encoding", options["encoding"]).text(paths).where(F.trim("value") == "")
+    none = [F.lit(None).cast("string").alias(name) for name in names]
+    return rows.unionByName(lines.select(*none, F.lit(True).alias(RAGGED), *place))
 
 
 def _width(raw: Column, delimiter: str) -> Column:

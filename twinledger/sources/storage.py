@@ -7,6 +7,7 @@ checkpoint, tells the optimizer its size.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,9 +17,11 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is set, as in tests, a new one for this session."""
+    """The cluster's checkpoint folder; where none is set and all tasks run in this process, a new one for this session."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="twinledger-")
         spark.conf.set(CHECKPOINT_DIR, folder)
     return folder.rstrip("/")
