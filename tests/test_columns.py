@@ -87,6 +87,14 @@ def test_hot_keys_spread_over_salts(spark, monkeypatch):
     assert sorted(map(tuple, col_ops.column_diff(c).collect())) == joined_counts(c)
 
 
+def test_equal_rows_of_a_hot_key_spread(spark):
+    rows = spark.range(0, 8000, 1, 8).select(F.lit(7).alias("k0"), F.lit("a").alias("l0"))
+    counted = rows.groupBy("k0").agg(F.count("*").alias("n"))
+    marked = joins.mark_keys(rows, counted, ["k0"], False).where("__listed")
+    sizes = [r["count"] for r in marked.groupBy("__salt").count().collect()]
+    assert sum(sizes) == 8000 and max(sizes) <= 4000
+
+
 def test_no_pairs_of_a_repeated_key_in_the_plan(spark):
     """2 x 3000 rows of one key: counting must not take 9 million pairs."""
     left = spark.range(3000).select(F.lit(1).alias("k"), (F.col("id") % 5).alias("v"))

@@ -81,5 +81,5 @@ def test_csv(spark, tmp_path):
 
 
 def test_settings():
-    s = settings_from({"diff_threshold_pct": None, "sample_rows": 7, "csv_sample_columns": 3}, {"numeric_scale": 2})
+    s = settings_from("C", {"diff_threshold_pct": None, "sample_rows": 7, "csv_sample_columns": 3}, {"numeric_scale": 2})
     assert (s.threshold_pct, s.sample_rows, s.sample_columns, s.cell_rules.numeric_scale) == (0.0, 7, 3, 2)

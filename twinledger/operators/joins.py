@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from twinledger.functions.normalise import quoted
 
@@ -24,6 +24,11 @@ def join_on(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe: bool, ho
     return a.join(renamed, on, how).drop(*[f"__{k}" for k in keys])
 
 
+def _salt(df: DataFrame) -> Column:
+    """A row's salt by what it holds and the partition it is in: equal rows spread too, and a task run again repeats it."""
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *[quoted(c) for c in df.columns]), F.lit(SALTS)).cast("int")
+
+
 def mark_keys(df: DataFrame, counted: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """Rows of ``df`` with ``__listed``, whether their key is in ``counted``, and the salt ``__salt``.
 
@@ -35,7 +40,7 @@ def mark_keys(df: DataFrame, counted: DataFrame, keys: Sequence[str], null_safe:
     columns = [quoted(k) for k in keys]
     limit = counted.agg(F.sum("n") * F.lit(HOT_SHARE)).scalar()
     hot = counted.where(F.col("n") > limit).select(*columns, F.lit(True).alias("__hot"))
-    spread = F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(SALTS)).cast("int")
+    spread = _salt(df)
     salted = (
         join_on(df, F.broadcast(hot), keys, null_safe, "left")
         .withColumn("__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0)))
@@ -57,6 +62,6 @@ def join_list(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFram
     columns = [quoted(c) for c in df.columns]
     if listed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return df.join(F.broadcast(listed), list(keys), "inner").select(*columns)
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int"))
+    salted = df.withColumn("__salt", _salt(df))
     repeated = listed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(repeated, [*keys, "__salt"], "inner").select(*columns)

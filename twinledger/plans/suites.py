@@ -25,16 +25,21 @@ TENANT_COLUMNS = ("client_name", "client_region")
 Opener = Callable[[str, str], DataFrame | None]
 
 
-def settings_from(defaults: Mapping | None, cell_options: Mapping | None = None) -> Settings:
-    """Run settings from the ``defaults`` section; extracts may have sample limits of their own."""
+def settings_from(ladder: str, defaults: Mapping | None, cell_options: Mapping | None = None) -> Settings:
+    """Run settings from the ``defaults`` section; extracts may have sample limits of their own, else those of tables."""
     d = dict(defaults or {})
     rows = int(d.get("sample_rows", 25))
+    # How many columns and rows of each are shown where nothing is configured, for models and for views.
+    columns, each = (10, 5) if ladder == "T" else (20, 15)
+    columns, each = d.get("t3_sample_columns", columns), d.get("t3_samples_per_column", each)
+    if ladder == "C":
+        columns, each = d.get("csv_sample_columns", columns), d.get("csv_samples_per_column", each)
     return Settings(
         threshold_pct=float(d.get("diff_threshold_pct") or 0),
         sample_rows=rows,
         full_row_sample_rows=int(d.get("full_row_sample_rows", rows)),
-        sample_columns=int(d.get("csv_sample_columns" if cell_options is not None else "t3_sample_columns", 20)),
-        samples_per_column=int(d.get("csv_samples_per_column" if cell_options is not None else "t3_samples_per_column", 15)),
+        sample_columns=int(columns),
+        samples_per_column=int(each),
         always_fingerprint=bool(d.get("always_fingerprint", False)),
         nullif_text=bool(d.get("nullif_text", True)),
         trim_text=bool(d.get("trim_text", False)),
@@ -86,7 +91,7 @@ def run_models(
     """
     env = cfg["environments"]
     open_side = open_side or _opener(spark, env["schema"])
-    settings = settings_from(cfg.get("defaults"))
+    settings = settings_from("T", cfg.get("defaults"))
     entries = _chosen(cfg["tables"], tables)
     skip = skip_blocked if skip_blocked is not None else (cfg.get("defaults") or {}).get("skip_blocked") or []
     judged = config_ops.skip_blocked(config_ops.config_rows(spark, entries), [str(s) for s in skip], tables, ignore_blocked)
@@ -144,7 +149,7 @@ def run_views(
         joined = active is not None and e.get("tenant_join", dwi.get("tenant_join", False)) is not False
         entries.append({**({"tenant_columns": TENANT_COLUMNS} if joined else {}), **e})
     jobs = _table_jobs(
-        spark, "D", entries, (dwi["prod_db"], dwi["uat_db"]), open_side, settings_from(cfg.get("defaults")), active,
+        spark, "D", entries, (dwi["prod_db"], dwi["uat_db"]), open_side, settings_from("D", cfg.get("defaults")), active,
         dwi.get("default_grain") or (),
     )
     return run_all(spark, jobs, at_once)
@@ -201,7 +206,7 @@ def run_csv(
         coverage = coverage.where(F.col("view").isin(picked))
     by_name = {str(e["name"]).lower(): e for e in entries}
     options = dict(csv.get("normalisation") or {})
-    settings = settings_from(cfg.get("defaults"), options)
+    settings = settings_from("C", cfg.get("defaults"), options)
     reading = {k: csv[k] for k in ("encoding", "delimiter", "multi_line") if csv.get(k) is not None}
     for r in coverage.orderBy("tenant", "view").collect():
         if r.coverage != "shared":
