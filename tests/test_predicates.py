@@ -15,32 +15,37 @@ def holds(spark, text, left, right, kind="string", null_explains=False, half_eve
 @pytest.mark.parametrize(
     "text, left, right, expected",
     [
-        ("prod_value = 'a'", "a", "b", True),
-        ("prod_value == 'a' and uat_value is None", "a", None, True),
-        ('redshift_value = "a"', "a", "b", True),
-        ("snowflake_value is not null", "a", "b", True),
-        ("date(prod_value) = '1970-01-01'", "1970-01-01 00:00:00", None, True),
-        ("prod_value::date <= '1970-01-01' or prod_value::date = '2772-12-31'", "2772-12-31 10:00:00", None, True),
-        ("prod_value::date between '1899-12-01' and '1900-01-02'", "1900-01-01", "x", True),
-        ("prod_value::date <= '1970-01-01'", "no date", None, False),
-        ("uat_value::int = 0", None, "0", True),
-        ("uat_value::int = 0", None, "zero", False),
-        ("uat_value::string = 'NULL'", None, "NULL", True),
-        ("year(prod_value) <= 1980", "1970-05-05", None, True),
-        ("year(prod_value) <= 1980", "junk", None, False),
-        ("round(prod_value, 1) = round(uat_value, 1)", "1.04", "1.01", True),
-        ("abs(num(prod_value) - num(uat_value)) < 0.5", "1.25", "1.5", True),
-        ("abs(num(prod_value) - num(uat_value)) < 0.5", "junk", "1.5", False),
-        ("prod_value > 3", "4", None, True),
-        ("prod_value > 3", "four", None, False),
-        ("startswith(prod_value, 'ab') and contains(uat_value, 'x')", "abc", "yxy", True),
-        ("isblank(uat_value)", "a", None, True),
-        ("len(prod_value) = 3", "abc", None, True),
-        ("prod_value in ('a', 'b')", "b", None, True),
-        ("prod_value not in ('a', 'b')", "c", None, True),
-        ("not (prod_value = 'a' or uat_value = 'b')", "x", "y", True),
-        ("prod_value = 'it''s'", "it's", None, True),
-        ("prod_value = 'a\\b'", "a\\b", None, True),
+        ("left_value = 'O'", "O", "F", True),
+        ("prod_value == 'O' and uat_value is None", "O", None, True),
+        ('redshift_value = "P"', "P", "F", True),
+        ("snowflake_value is not null", "O", "F", True),
+        ("date(uat_value) = '1996-02-29'", None, "1996-02-29 23:59:59", True),
+        ("date(uat_value) = '1996-02-29'", None, "1996-02-30", False),
+        ("uat_value::date > '1998-08-02' or prod_value::date < '1992-01-01'", "1991-12-31 08:00:00", None, True),
+        ("prod_value::date between '1994-01-01' and '1994-03-31'", "1994-03-31", "?", True),
+        ("prod_value::date between '1994-01-01' and '1994-03-31'", "1994-04-01", "?", False),
+        ("right_value::date > '1994-01-01'", "1995-01-01", "soon", False),
+        ("prod_value::int = 12", "12", None, True),
+        ("prod_value::int = 12", "a dozen", None, False),
+        ("prod_value::string = 'Clerk#7'", "Clerk#7", None, True),
+        ("year(uat_value) > 1996", None, "1997-03-09", True),
+        ("year(uat_value) > 1996", None, "later", False),
+        ("round(uat_value, 2) = 17.26", "0", "17.2649", True),
+        ("round(uat_value, 2) = 17.26", "0", "17.2651", False),
+        ("abs(num(uat_value) - num(prod_value)) <= 2", "901.5", "903.5", True),
+        ("abs(num(uat_value) - num(prod_value)) <= 2", "901.5", "n/a", False),
+        ("uat_value < 100", None, "99.99", True),
+        ("uat_value < 100", None, "cheap", False),
+        ("startswith(uat_value, 'Clerk#') and contains(prod_value, 'temp')", "a temp", "Clerk#1", True),
+        ("isblank(prod_value)", "", "Clerk#1", True),
+        ("isblank(prod_value)", "x", None, False),
+        ("isblank(uat_value)", "Clerk#1", None, True),
+        ("len(uat_value) = 5", "", "14-AB", True),
+        ("uat_value in ('1-URGENT', '2-HIGH')", None, "2-HIGH", True),
+        ("uat_value not in ('1-URGENT', '2-HIGH')", None, "5-LOW", True),
+        ("not (prod_value = 'F' or uat_value = 'F')", "O", "P", True),
+        ("prod_value = 'clerk''s'", "clerk's", None, True),
+        ("prod_value = 'C:\\tmp'", "C:\\tmp", None, True),
     ],
 )
 def test_meaning(spark, text, left, right, expected):

@@ -7,7 +7,7 @@ number: expanding the shared list into both modes, resolving grains, scoping, ov
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -22,31 +22,33 @@ CONFIG_SCHEMA = (
 ALL_TIERS = "*"
 
 
-def column_entries(items: Iterable | None) -> list[tuple[str, str, str | None]]:
-    """Bare names and ``{column, reason, where}`` entries as ``(column, reason, where)``; a later entry wins."""
-    out: dict[str, tuple[str, str, str | None]] = {}
-    for item in items or ():
-        entry = item if isinstance(item, Mapping) else {"column": str(item)}
-        out[entry["column"]] = (entry["column"], entry.get("reason") or "", entry.get("where"))
-    return list(out.values())
+def _spelled(raw, name: str) -> Iterator[Mapping]:
+    """Whatever spelling the configuration uses, as mappings with the key ``name``: word, mapping, or list of either."""
+    match raw:
+        case None | False | "":
+            return
+        case True:
+            yield {name: ALL_TIERS}
+        case Mapping() if name in raw:
+            yield raw
+        case Mapping():
+            yield from ({name: key, "reason": text} for key, text in raw.items())
+        case list() | tuple():
+            for part in raw:
+                yield from _spelled(part, name)
+        case _:
+            yield {name: str(raw)}
+
+
+def column_entries(raw) -> list[tuple[str, str, str | None]]:
+    """Configured columns as ``(column, reason, where)``; a later entry for a column wins."""
+    return list({e["column"]: (e["column"], e.get("reason") or "", e.get("where")) for e in _spelled(raw, "column")}.values())
 
 
 def override_entries(raw) -> list[tuple[str, str | None]]:
-    """Every spelling of ``accept_diff`` as ``(tier, reason)``; ``true`` is all tiers."""
-    if not raw:
-        return []
-    if raw is True:
-        return [(ALL_TIERS, None)]
-    if isinstance(raw, Mapping):
-        items: Iterable = [{"tier": k, "reason": v} for k, v in raw.items()]
-    else:
-        items = raw if isinstance(raw, (list, tuple)) else [raw]
-    out: dict[str, tuple[str, str | None]] = {}
-    for item in items:
-        entry = item if isinstance(item, Mapping) else {"tier": item}
-        tier, reason = str(entry.get("tier")).upper(), entry.get("reason")
-        out[tier] = (tier, reason if isinstance(reason, str) else None)
-    return list(out.values())
+    """Configured tier acceptances as ``(tier, reason)``; ``true`` is all tiers, a later entry for a tier wins."""
+    reasons = {str(e["tier"]).upper(): e.get("reason") for e in _spelled(raw, "tier")}
+    return [(tier, text if isinstance(text, str) else None) for tier, text in reasons.items()]
 
 
 def config_rows(spark: SparkSession, views: Sequence[Mapping], default_grain: Sequence[str] | None = None) -> DataFrame:

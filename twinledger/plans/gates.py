@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from twinledger.plans.status import TIERS
+from twinledger.plans.wording import DIFFERS, KEYS_UNUSABLE, NO_KEYS, TOLERATED
 
 _CLEAN = "('PASS', 'SKIPPED')"
 
@@ -18,12 +19,12 @@ _CLEAN = "('PASS', 'SKIPPED')"
 GATES: dict[str, list[tuple[str, str, list[tuple[str, str]]]]] = {
     "T": [
         ("T0", "present", []),
-        ("T1", "has_grain", [("true", "no grain configured")]),
+        ("T1", "has_grain", [("true", NO_KEYS)]),
         ("T2", "true", []),
         (
             "T3",
             "has_grain and usable",
-            [("has_grain", "no usable grain - cannot join on keys"), ("true", "no grain configured")],
+            [("has_grain", KEYS_UNUSABLE), ("true", NO_KEYS)],
         ),
         (
             "T4",
@@ -31,26 +32,26 @@ GATES: dict[str, list[tuple[str, str, list[tuple[str, str]]]]] = {
             [
                 (
                     "(case when has_grain and usable then T3 else T2 end) = 'ACCEPTED'",
-                    "content diffs accepted (threshold or config override) - fingerprints would differ by construction",
+                    TOLERATED,
                 ),
-                ("true", "content diffs found (T2/T3)"),
+                ("true", DIFFERS),
             ],
         ),
     ],
     "D": [
         ("D0", "present", []),
-        ("D1", "has_grain", [("true", "no grain resolved")]),
-        ("D2", "has_grain", [("true", "no grain resolved")]),
-        ("D3", "has_grain and usable", [("true", "no usable grain - join would fan out")]),
+        ("D1", "has_grain", [("true", NO_KEYS)]),
+        ("D2", "has_grain", [("true", NO_KEYS)]),
+        ("D3", "has_grain and usable", [("true", KEYS_UNUSABLE)]),
         (
             "D4",
             f"always or (D2 in {_CLEAN} and D3 in {_CLEAN})",
             [
                 (
                     "not (D2 = 'FAIL' or D3 = 'FAIL')",
-                    "differences were accepted within threshold - fingerprints differ by construction, so D4 adds nothing",
+                    TOLERATED,
                 ),
-                ("true", "content diffs present - fingerprints would differ by construction"),
+                ("true", DIFFERS),
             ],
         ),
     ],
@@ -58,17 +59,17 @@ GATES: dict[str, list[tuple[str, str, list[tuple[str, str]]]]] = {
         ("C0", "true", []),
         ("C1", "present", []),
         ("C2", "true", []),
-        ("C3", "has_grain", [("true", "no grain resolved for this view")]),
-        ("C4", "has_grain", [("true", "no grain resolved - cannot align rows")]),
+        ("C3", "has_grain", [("true", NO_KEYS)]),
+        ("C4", "has_grain", [("true", NO_KEYS)]),
         (
             "C5",
             f"always or (C2 in {_CLEAN} and C3 in {_CLEAN} and C4 in {_CLEAN})",
             [
                 (
                     "not (C2 = 'FAIL' or C3 = 'FAIL' or C4 = 'FAIL')",
-                    "differences were accepted within threshold - fingerprints differ by construction, so C5 adds nothing",
+                    TOLERATED,
                 ),
-                ("true", "content diffs present - fingerprints would differ by construction"),
+                ("true", DIFFERS),
             ],
         ),
     ],

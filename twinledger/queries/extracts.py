@@ -97,14 +97,14 @@ def cell_normalise_texts(i):
 
 # (predicate, column, its DuckDB form with NULL as unexplained)
 PREDICATES = {
-    "sentinel_date": ("prod_value::date <= '1995-01-01' or prod_value::date = '1997-12-31'", "o_orderdate",
-                      "$p::DATE <= DATE '1995-01-01' OR $p::DATE = DATE '1997-12-31'"),
-    "same_day_or_late": ("date(prod_value) = date(uat_value) OR date(uat_value) >= '1998-07-14'", "o_orderdate",
-                         "$p::DATE = $u::DATE OR $u::DATE >= DATE '1998-07-14'"),
-    "between_days": ("prod_value::date between '1996-12-01' and '1997-01-02' and uat_value is null", "o_orderdate",
-                     "$p::DATE BETWEEN DATE '1996-12-01' AND DATE '1997-01-02' AND $u IS NULL"),
-    "old_year": ("year(prod_value) <= 1994", "o_orderdate", "year($p) <= 1994"),
-    "rounded": ("round(prod_value, 0) = round(uat_value, 0)", "o_totalprice", "floor($p + 0.5) = floor($u + 0.5)"),
+    "either_end": ("prod_value::date < '1993-02-01' or uat_value::date > '1998-05-31'", "o_orderdate",
+                   "$p::DATE < DATE '1993-02-01' OR $u::DATE > DATE '1998-05-31'"),
+    "moved_later": ("date(uat_value) > date(prod_value) AND date(prod_value) <> '1994-04-04'", "o_orderdate",
+                    "$u::DATE > $p::DATE AND $p::DATE <> DATE '1994-04-04'"),
+    "second_quarter": ("uat_value is not null and prod_value::date between '1995-04-01' and '1995-06-30'", "o_orderdate",
+                       "$u IS NOT NULL AND $p::DATE BETWEEN DATE '1995-04-01' AND DATE '1995-06-30'"),
+    "same_year": ("year(prod_value) = year(uat_value)", "o_orderdate", "year($p) = year($u)"),
+    "rounded_down": ("round(prod_value) > prod_value", "o_totalprice", "floor($p + 0.5) > $p"),
     "near": ("abs(prod_value - uat_value) <= 0.1", "o_totalprice", "abs($p - $u) <= 0.1"),
     "missing": ("uat_value is null", "o_orderstatus", "$u IS NULL"),
     "text": ("uat_value::string = 'F' or length(prod_value) > 1", "o_orderstatus", "$u = 'F' OR length($p) > 1"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from twinledger.functions.display import percent_text, shown_value
-from twinledger.plans import status as status_ops
+from twinledger.plans import status as status_ops, wording
 from twinledger.plans.gates import tier_gates
 from twinledger.queries.registry import query
 
@@ -33,20 +33,17 @@ def threshold_status(i):
     )
 
 
-_COLUMN_STATUS = """SELECT k.view, k.col_name, k.ordinal, k.shared, k.mismatches, k.residual,
+_COLUMN_STATUS = f"""SELECT k.view, k.col_name, k.ordinal, k.shared, k.mismatches, k.residual,
   CASE WHEN a.cond IS NOT NULL THEN CASE WHEN rest = 0 THEN 'ACCEPTED_MARKED'
       WHEN 100.0 * rest / shared <= 10 THEN 'ACCEPTED_THRESHOLD' ELSE 'FAIL' END
     WHEN a.view IS NOT NULL THEN 'ACCEPTED_MARKED'
     WHEN 100.0 * mismatches / shared <= 10 THEN 'ACCEPTED_THRESHOLD' ELSE 'FAIL' END AS status,
-  CASE WHEN a.cond IS NOT NULL AND rest = 0 THEN base || ' - where-clause explains all ' || mismatches || ' diffs'
-    WHEN a.cond IS NOT NULL AND 100.0 * rest / shared <= 10 THEN base || ' - explains ' || (mismatches - rest) || ' of '
-      || mismatches || ' diffs; remaining ' || rest || ' within threshold'
-    WHEN a.cond IS NOT NULL THEN base || ' - explains ' || (mismatches - rest) || ' of ' || mismatches || ' diffs; '
-      || rest || ' unexplained differences remain'
+  CASE WHEN a.cond IS NOT NULL THEN base || '{wording.COVERS}' || (mismatches - rest) || '{wording.OF}' || mismatches
+      || CASE WHEN rest = 0 THEN ')' WHEN 100.0 * rest / shared <= 10 THEN '{wording.TOLERABLE}' ELSE '{wording.OPEN}' END
     WHEN a.view IS NOT NULL THEN base END AS reason
- FROM (SELECT *, COALESCE(residual, mismatches) AS rest FROM {column_counts} q) k
- LEFT JOIN (SELECT *, CASE WHEN reason = '' THEN 'marked as accepted in config' ELSE reason END AS base
-   FROM {accepted_columns} q) a ON k.view = a.view AND k.col_name = a.col_name WHERE mismatches > 0"""
+ FROM (SELECT *, COALESCE(residual, mismatches) AS rest FROM {{column_counts}} q) k
+ LEFT JOIN (SELECT *, CASE WHEN reason = '' THEN '{wording.LISTED}' ELSE reason END AS base
+   FROM {{accepted_columns}} q) a ON k.view = a.view AND k.col_name = a.col_name WHERE mismatches > 0"""
 
 
 def _column_rows(i):
@@ -108,8 +105,7 @@ _OVERRIDES = """SELECT view, 'D2' AS tier, 'timing' AS reason FROM {outcomes} o
     "accept_overrides",
     f"""SELECT t.mode, t.view, t.tier, CASE WHEN hit THEN 'ACCEPTED' ELSE t.status END AS status,
    CASE WHEN hit THEN 1 ELSE 0 END AS accepted_via_config,
-   CASE WHEN hit THEN t.tier || CASE WHEN t.status = 'FAIL' THEN ' diff accepted via config override'
-      ELSE ' diff was within threshold; reason on file' END
+   CASE WHEN hit THEN t.tier || ': ' || CASE WHEN t.status = 'FAIL' THEN '{wording.ACCEPTED_BY_CONFIG}' ELSE '{wording.TOLERATED_ANYWAY}' END
       || CASE WHEN reason <> '' THEN ': ' || reason ELSE '' END END AS note
  FROM (SELECT a.*, o.reason, o.view IS NOT NULL AND a.status IN ('FAIL', 'ACCEPTED') AS hit FROM {{tier_rows}} a
    LEFT JOIN ({_OVERRIDES}) o ON a.view = o.view AND a.tier = o.tier) t""",
@@ -121,7 +117,6 @@ def accept_overrides(i):
 # -- gates -------------------------------------------------------------------------------------------------
 
 _CLEAN = "('PASS', 'SKIPPED')"
-_BY_CONSTRUCTION = "fingerprints differ by construction, so {t} adds nothing"
 
 
 def _rows(rows):
@@ -134,16 +129,15 @@ def _rows(rows):
 _T_GATES = "WITH o AS (SELECT *, CASE WHEN has_grain AND usable THEN s3 ELSE s2 END AS content FROM {outcomes} q) " + _rows(
     [
         ("T0", "s0", "NULL", "present", "o"),
-        ("T1", "CASE WHEN has_grain THEN s1 ELSE 'SKIPPED' END", "CASE WHEN NOT has_grain THEN 'no grain configured' END",
+        ("T1", "CASE WHEN has_grain THEN s1 ELSE 'SKIPPED' END", f"CASE WHEN NOT has_grain THEN '{wording.NO_KEYS}' END",
          "present AND s0 = 'PASS'", "o"),
         ("T2", "s2", "NULL", "present AND s0 = 'PASS'", "o"),
         ("T3", "CASE WHEN has_grain AND usable THEN s3 ELSE 'SKIPPED' END",
-         "CASE WHEN NOT has_grain THEN 'no grain configured' WHEN NOT usable THEN 'no usable grain - cannot join on keys' END",
+         f"CASE WHEN NOT has_grain THEN '{wording.NO_KEYS}' WHEN NOT usable THEN '{wording.KEYS_UNUSABLE}' END",
          "present AND s0 = 'PASS'", "o"),
         ("T4", "CASE WHEN always OR content = 'PASS' THEN s4 ELSE 'SKIPPED' END",
-         """CASE WHEN always OR content = 'PASS' THEN NULL WHEN content = 'ACCEPTED' THEN
-            'content diffs accepted (threshold or config override) - fingerprints would differ by construction'
-            ELSE 'content diffs found (T2/T3)' END""", "present AND s0 = 'PASS'", "o"),
+         f"""CASE WHEN always OR content = 'PASS' THEN NULL
+            WHEN content = 'ACCEPTED' THEN '{wording.TOLERATED}' ELSE '{wording.DIFFERS}' END""", "present AND s0 = 'PASS'", "o"),
     ]
 )
 _D_GATES = (
@@ -152,15 +146,14 @@ _D_GATES = (
     + _rows(
         [
             ("D0", "s0", "NULL", "present", "o"),
-            ("D1", "CASE WHEN has_grain THEN s1 ELSE 'SKIPPED' END", "CASE WHEN NOT has_grain THEN 'no grain resolved' END",
+            ("D1", "CASE WHEN has_grain THEN s1 ELSE 'SKIPPED' END", f"CASE WHEN NOT has_grain THEN '{wording.NO_KEYS}' END",
              "present AND s0 = 'PASS'", "o"),
-            ("D2", "k", "CASE WHEN NOT has_grain THEN 'no grain resolved' END", "present AND s0 = 'PASS'", "o"),
-            ("D3", "m", "CASE WHEN NOT (has_grain AND usable) THEN 'no usable grain - join would fan out' END",
+            ("D2", "k", f"CASE WHEN NOT has_grain THEN '{wording.NO_KEYS}' END", "present AND s0 = 'PASS'", "o"),
+            ("D3", "m", f"CASE WHEN NOT (has_grain AND usable) THEN '{wording.KEYS_UNUSABLE}' END",
              "present AND s0 = 'PASS'", "o"),
             ("D4", f"CASE WHEN always OR (k IN {_CLEAN} AND m IN {_CLEAN}) THEN s4 ELSE 'SKIPPED' END",
-             f"""CASE WHEN always OR (k IN {_CLEAN} AND m IN {_CLEAN}) THEN NULL WHEN 'FAIL' IN (k, m) THEN
-                'content diffs present - fingerprints would differ by construction'
-                ELSE 'differences were accepted within threshold - {_BY_CONSTRUCTION.format(t="D4")}' END""",
+             f"""CASE WHEN always OR (k IN {_CLEAN} AND m IN {_CLEAN}) THEN NULL
+                WHEN 'FAIL' IN (k, m) THEN '{wording.DIFFERS}' ELSE '{wording.TOLERATED}' END""",
              "present AND s0 = 'PASS'", "o"),
         ]
     )
@@ -173,13 +166,12 @@ _C_GATES = (
             ("C0", "CASE WHEN present THEN 'PASS' ELSE 'FAIL' END", "NULL", "true", "o"),
             ("C1", "s0", "NULL", "present", "o"),
             ("C2", "s2", "NULL", "present AND s0 = 'PASS'", "o"),
-            ("C3", "k", "CASE WHEN NOT has_grain THEN 'no grain resolved for this view' END", "present AND s0 = 'PASS'", "o"),
-            ("C4", "m", "CASE WHEN NOT has_grain THEN 'no grain resolved - cannot align rows' END",
+            ("C3", "k", f"CASE WHEN NOT has_grain THEN '{wording.NO_KEYS}' END", "present AND s0 = 'PASS'", "o"),
+            ("C4", "m", f"CASE WHEN NOT has_grain THEN '{wording.NO_KEYS}' END",
              "present AND s0 = 'PASS'", "o"),
             ("C5", f"CASE WHEN always OR (s2 = 'PASS' AND k IN {_CLEAN} AND m IN {_CLEAN}) THEN s5 ELSE 'SKIPPED' END",
              f"""CASE WHEN always OR (s2 = 'PASS' AND k IN {_CLEAN} AND m IN {_CLEAN}) THEN NULL
-                WHEN 'FAIL' IN (s2, k, m) THEN 'content diffs present - fingerprints would differ by construction'
-                ELSE 'differences were accepted within threshold - {_BY_CONSTRUCTION.format(t="C5")}' END""",
+                WHEN 'FAIL' IN (s2, k, m) THEN '{wording.DIFFERS}' ELSE '{wording.TOLERATED}' END""",
              "present AND s0 = 'PASS'", "o"),
         ]
     )
