@@ -138,3 +138,20 @@ def test_history_of_all_payload_shapes(spark, tmp_path):
     got = {r["id"]: r.asDict() for r in matrix.collect()}
     assert got["csv:uat1/v"]["results_20260102_0100"] == "DIFFS" and got["bi:T"]["results_20260101_0100"] == "none"
     assert got["dwi:DWI_V"]["results_20260101_0100"] == "DRIFT"
+
+
+def test_only_the_named_tenants_are_listed(spark, tmp_path):
+    run = "20250105060000"
+    lay_out(
+        tmp_path, f"left/north/{run}/orders.csv", f"left/processed/north/{run}/orders.csv", f"left/north east/{run}/part.csv",
+        f"left/{{odd,one}}/{run}/part.csv", f"left/south/{run}/orders.csv", f"left/processed/south/{run}/orders.csv",
+    )
+    base = f"file:{tmp_path / 'left'}"
+
+    def found(*tenants):
+        listed = run_ops.run_files(run_ops.list_paths(spark, base, tenants), "left", base)
+        return sorted((r.tenant, r.processed) for r in listed.collect())
+
+    assert found("north") == [("north", False), ("north", True)]
+    assert found("{odd,one}", "south") == [("south", False), ("south", True), ("{odd,one}", False)]
+    assert found("west") == []

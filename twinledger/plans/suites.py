@@ -180,7 +180,7 @@ def run_csv(
     }
     files = reduce(
         DataFrame.unionByName,
-        [run_ops.run_files(run_ops.list_paths(spark, base), side, base) for side, base in bases.items()],
+        [run_ops.run_files(run_ops.list_paths(spark, base, clients), side, base) for side, base in bases.items()],
     ).where(F.col("tenant").isin(clients))
     pinned = {side: ts for side, ts in (("left", left_run), ("right", right_run)) if ts}
     latest = run_ops.latest_run(files, pinned)

@@ -7,8 +7,9 @@ by grouping; only ``list_paths`` touches the file system.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 PLAIN, ENCRYPTED, MARKER, OTHER = "plain", "encrypted", "marker", "other"
@@ -16,9 +17,24 @@ PLAIN, ENCRYPTED, MARKER, OTHER = "plain", "encrypted", "marker", "other"
 MARKER_NAME = "marker.json"
 
 
-def list_paths(spark: SparkSession, base: str) -> DataFrame:
-    """Every file path below ``base``; contents are not read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path")
+def list_paths(spark: SparkSession, base: str, tenants: Sequence[str] | None = None) -> DataFrame:
+    """Every file path below ``base``; contents are not read.
+
+    With ``tenants`` only their folders (and those of like names), there and below ``processed``, are listed; none of
+    them there, no paths.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if tenants is None:
+        return files.load(base).select("path")
+    # A character with a meaning in patterns is matched by any character: a folder too many does no harm.
+    names = [re.sub(r"[\\{}\[\]*?,^]", "?", t) for t in tenants]
+    folders = ",".join(names + [f"processed/{n}" for n in names])
+    try:
+        return files.load(f"{base.rstrip('/')}/{{{folders}}}").select("path")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string")
 
 
 def file_kind(name: Column) -> Column:
