@@ -1,8 +1,9 @@
 """Language by the nearest centroid: TF-IDF vectors of character n-grams, several centroids per language, cosine.
 
 N-grams are hashed into a fixed number of dimensions.  Centroids come from at most ``per_language`` rows of each
-language (those with the smallest hash) of the training fold, clustered by spherical k-means; texts that lie farther
-from every centroid than training texts do are rejected.
+language (those with the smallest hash) of the training fold, clustered by spherical k-means.  A text is rejected if it
+lies farther from its centroid than pieces of training texts that are as rich: a bound for each language and each
+doubling of the number of distinct n-grams, so that neither short texts nor one repeated line count as foreign.
 """
 
 from __future__ import annotations
@@ -18,11 +19,14 @@ from twinledger.sources.storage import stored
 
 PER_LANGUAGE = 1000
 CENTROIDS = 4
-DIMENSIONS = 1 << 13
+BITS = 15
+DIMENSIONS = 1 << BITS
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
-#: A text is rejected when its cosine is below this share of what all but one in a thousand training texts reach.
-REJECT = 0.1
+#: A text is rejected when its cosine is below this share of what all but so many pieces of training texts reach.
+REJECT, RARE = 0.25, 0.05
+#: Pieces that a bound needs; a language has its own bounds or, where it has fewer pieces, those of all languages.
+PIECES = 50
 #: Characters of a text that are counted at once.
 STEP = 1 << 18
 
@@ -63,7 +67,19 @@ def counts(text: str) -> np.ndarray | None:
             begin = code[:STEP]
             if n in ORDERS:
                 mixed = (begin + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
-                out += np.bincount((mixed >> np.uint64(64 - 13)).astype("int64"), minlength=DIMENSIONS)
+                out += np.bincount((mixed >> np.uint64(64 - BITS)).astype("int64"), minlength=DIMENSIONS)
+    return out
+
+
+def pieces(text: str) -> list[str]:
+    """The text, and one piece of it for every doubling of the number of words; where it begins hangs on the text."""
+    words = text.split()
+    out, start = [text], np.random.default_rng(len(text))
+    size = 1
+    while size < len(words):
+        at = int(start.integers(0, len(words) - size + 1))
+        out.append(" ".join(words[at : at + size]))
+        size *= 2
     return out
 
 
@@ -78,33 +94,71 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
         starts.append(x[np.argmin((x @ np.array(starts).T).max(1))])
     c = np.array(starts)
     for _ in range(rounds):
-        own = (x @ c.T).argmax(1)
-        c = np.array([unit(x[own == i].sum(0)) if (own == i).any() else c[i] for i in range(len(c))])
+        own = (x @ c.T).argmax(1) == np.arange(len(c))[:, None]
+        c = np.where(own.any(1)[:, None], unit(own.astype(x.dtype) @ x), c)
     return c
 
 
+def typical(x: np.ndarray, k: int) -> np.ndarray:
+    """Centroids that each at least a share of RARE of the rows has: rows in smaller clusters (junk that bears the
+    language's name) are no lessons, and the others are clustered anew."""
+    least = RARE * len(x)
+    for last in (False, True):  # rows far from all others exist in every table, so this is done once
+        c = cluster(x, k)
+        own = (x @ c.T).argmax(1)
+        few = np.bincount(own, minlength=len(c)) < least
+        if last or not few[own].any():
+            return c[~few]
+        x = x[~few[own]]
+
+
 @dataclass
 class Languages:
     idf: np.ndarray
     names: list[str]
     centroids: np.ndarray  # of all languages, one per row
     language: np.ndarray  # of each centroid
-    least: float = 0.0  # cosine below which a text belongs to no language
+    least: np.ndarray | None = None  # cosine below which a text is rejected, by language and richness
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The language and how near its centroid is; a text without a letter has none."""
+    def nearest(self, text: str | None) -> tuple[np.ndarray, int] | None:
+        """How near all centroids are, and the richness: bits of the number of n-grams; none without a letter."""
         found = counts(text) if text else None
+        if found is None or not self.names:
+            return None
+        places = np.flatnonzero(found)
+        near = self.centroids[:, places] @ unit(np.sqrt(found[places]) * self.idf[places])
+        return np.clip(near, 0.0, 1.0), len(places).bit_length()
+
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """The language, how near its centroid is, and whether some language is near enough."""
+        found = self.nearest(text)
         if found is None:
-            return UNKNOWN, 0.0
-        if not self.names:
-            return UNKNOWN, 0.0
-        near = self.centroids @ unit(np.sqrt(found) * self.idf)
+            return UNKNOWN, 0.0, False
+        near, rich = found
         best = int(near.argmax())
-        return self.names[self.language[best]], float(min(1.0, max(0.0, near[best])))
+        enough = self.least is None or bool((near >= self.least[self.language, rich]).any())
+        return self.names[self.language[best]], float(near[best]), enough
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
 
     def accepts(self, text: str | None) -> bool:
-        name, score = self.predict(text)
-        return name != UNKNOWN and score >= self.least
+        return self.judge(text)[2]
+
+
+def bounds(languages: int, seen: list[tuple[int, int, int, float]]) -> np.ndarray:
+    """From (language or -1 for all, richness, pieces, rare cosine) to the least cosine by language and richness.
+
+    Where too few pieces are as rich, the bound of the next poorer ones holds: it is milder.
+    """
+    least = np.zeros((languages, BITS + 2))
+    value = {(language, rich): low for language, rich, n, low in seen if n >= PIECES}
+    for language in range(languages):
+        low = 0.0
+        for rich in range(BITS + 2):
+            low = value.get((language, rich), value.get((-1, rich), low))
+            least[language, rich] = REJECT * low
+    return least
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> Languages:
@@ -141,24 +195,47 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENT
             x[i, p.values.to_numpy()] = n.values.to_numpy()
         return x
 
+    def weighted(x: np.ndarray) -> np.ndarray:
+        """In place, for the matrix is the largest thing on the driver."""
+        np.sqrt(x, out=x)
+        x *= idf
+        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]
+        return x
+
     frequency, rows_seen = np.zeros(DIMENSIONS), 0
     for lang in found:  # one language's vectors at a time are on the driver
         x = matrix(lang)
         frequency += (x > 0).sum(0)
         rows_seen += len(x)
     idf = (np.log((1 + rows_seen) / (1 + frequency)) + 0.1).astype("float32")
-    names, all_centroids, language, nearest = [], [], [], []
+    names, all_centroids, language = [], [], []
     for lang in found:
-        x = unit(np.sqrt(matrix(lang)) * idf)
-        c = cluster(x, centroids)
+        x = None  # the one before goes first
+        x = weighted(matrix(lang))
+        c = typical(x, centroids)
         names.append(lang)
         all_centroids.append(c)
         language += [len(names) - 1] * len(c)
-        nearest.append((x @ c.T).max(1))
     if not names:
         return Languages(idf, [], np.zeros((0, DIMENSIONS)), np.zeros(0, "int64"))
-    least = REJECT * float(np.quantile(np.concatenate(nearest), 0.001))
-    return Languages(idf, names, np.vstack(all_centroids), np.array(language), least)
+    model = Languages(idf, names, np.vstack(all_centroids), np.array(language))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def distances(batches):
+        for batch in batches:
+            found = [sent.value.nearest(p) for text in columns_of(batch, "text")[0] for p in pieces(text)]
+            found = [f for f in found if f]
+            yield {
+                "language": [int(sent.value.language[near.argmax()]) for near, _ in found],
+                "score": [float(near.max()) for near, _ in found], "rich": [rich for _, rich in found],
+            }
+
+    seen = stored(map_batches(texts, distances, "language int, score double, rich int"), "language-distances")
+    rare = F.percentile_approx("score", RARE, 10_000)
+    every = seen.unionByName(seen.withColumn("language", F.lit(-1)))
+    rare_ones = every.groupBy("language", "rich").agg(F.count("*"), rare)  # languages times BITS rows at most
+    model.least = bounds(len(names), [tuple(r) for r in rare_ones.collect()])
+    return model
 
 
 def predict(docs: DataFrame, model: Languages) -> DataFrame:
@@ -169,10 +246,10 @@ def predict(docs: DataFrame, model: Languages) -> DataFrame:
         model = sent.value
         for batch in batches:
             doc_ids, texts = columns_of(batch, "doc_id", "text")
-            found = [model.predict(t) for t in texts]
+            found = [model.judge(t) for t in texts]
             yield {
-                "doc_id": doc_ids, "lang_pred": [n for n, _ in found], "score": [s for _, s in found],
-                "accepted": [n != UNKNOWN and s >= model.least for n, s in found],
+                "doc_id": doc_ids, "lang_pred": [n for n, _, _ in found], "score": [s for _, s, _ in found],
+                "accepted": [a for _, _, a in found],
             }
 
     out = map_batches(docs.select("doc_id", "text"), work, "doc_id long, lang_pred string, score double, accepted boolean")
