@@ -87,22 +87,26 @@ SPELLED = {
     "es": "cero uno dos tres cuatro cinco seis siete ocho nueve",
 }
 DIGIT = {w: str(i) for line in SPELLED.values() for i, w in enumerate(line.split())} | {"oh": "0"}
-#: Words of a spelled number in a row that make it one.
-RUN = 7
 _WORD = "|".join(sorted(DIGIT, key=lambda w: (-len(w), w)))
-SPELLED_RUN = re.compile(
-    rf"(?i)(?<!\w)(?:plus[ ,-]+)?(?:(?:{_WORD})(?:[ ,-]+(?:dot|point|punkt|punto)[ ,-]+|[ ,.-]+|(?!\w))){{{RUN},}}"
-)
-SPELLED_PART = re.compile(rf"(?i)plus|dot|point|punkt|punto|{_WORD}")
+#: Digits and words for digits in any mixture, parted by white space and signs; identifiers found in them decide.
+_PART = rf"(?:(?:{_WORD})(?!\w)|\+?[0-9]+(?!\w))"
+_GAP = r"(?:[\s,-]+(?:dot|point|punkt|punto)[\s,-]+|[\s,.()-]+)"
+SPELLED_RUN = re.compile(rf"(?i)(?<!\w)(?:plus[\s,.-]+)?{_PART}(?:{_GAP}{_PART})+")
+SPELLED_PART = re.compile(rf"(?i)(?<!\w)(?:plus|dot|point|punkt|punto|{_WORD})(?!\w)|\+?[0-9]+")
+#: Words that stand between digits without ending a run.
+BETWEEN = frozenset("dot point punkt punto".split())
+TOKEN = re.compile(r"\w+")
 
 BRACKETED = re.compile(r"(?i)\s?[\[({<]\s?(at|@|dot|punkt|point|punto|\.)\s?[\])}>]\s?")
 # Ends of domain names that count where "dot" stands as a plain word.
 ENDS = "com|org|net|edu|gov|info|io|co|de|fr|es|uk|eu|us|ai|dev|app|biz|ch|at|it|nl|example|test"
 WORDED = re.compile(
-    rf"(?i)(?<![\w.])[a-z0-9][a-z0-9_%+-]*(?:(?: dot |\.)[a-z0-9_%+-]+)*(?: at |@)"
-    rf"[a-z0-9-]+(?:(?: dot |\.)[a-z0-9-]+)*(?: dot |\.)(?:{ENDS})(?!\w)"
+    rf"(?i)(?<![\w.])[a-z0-9][a-z0-9_%+-]*(?:(?:\s+dot\s+|\.)[a-z0-9_%+-]+)*(?:\s+at\s+|@)"
+    rf"[a-z0-9-]+(?:(?:\s+dot\s+|\.)[a-z0-9-]+)*(?:\s+dot\s+|\.)(?:{ENDS})(?!\w)"
 )
-WORD_SIGN = re.compile(r"(?i) (at|dot) ")
+WORD_SIGN = re.compile(r"(?i)\s+(at|dot)\s+")
+#: What WORDED and BRACKETED cannot do without.
+SIGN_WORD = re.compile(r"(?i)\s(?:at|dot)\s")
 
 
 class Mapped:
@@ -154,32 +158,67 @@ def signs(t: Mapped) -> None:
     t.replace(edits)
 
 
+def has_spelled(text: str) -> bool:
+    """Whether a word for a digit stands beside a digit or another such word."""
+    tokens = [w for w in TOKEN.findall(text.lower()) if w not in BETWEEN]
+    if DIGIT.keys().isdisjoint(tokens):
+        return False
+    kinds = [2 if w in DIGIT else 1 if w[0].isdigit() else 0 for w in tokens]
+    return any(a and b and a + b > 2 for a, b in zip(kinds, kinds[1:]))
+
+
 def spelled(t: Mapped) -> None:
+    """Spelled digits become digits that touch their neighbours; the signs between digits stay as they are.
+
+    A point between a digit and a spelled one stays, as it does in four spelled numbers parted by points.  One word
+    beside an identifier that is whole without it is a word.
+    """
     edits = []
+    whole = None
     for run in SPELLED_RUN.finditer(t.text):
         parts = list(SPELLED_PART.finditer(run[0]))
-        for i, part in enumerate(parts):  # a part reaches to the next one, so that the digits touch
+        words = [p for p in parts if p[0].lower() in DIGIT]
+        if not words:
+            continue
+        if len(words) == 1 and len(parts) > 1:
+            whole = base(t.text) if whole is None else whole
+            if any(a < run.end() and run.start() < b and kind != "email" for a, b, kind in whole):
+                continue
+        gaps = [run[0][p.end() : q.start()] for p, q in zip(parts, parts[1:])]
+        address = len(parts) == 4 and gaps == ["."] * 3
+        for i, part in enumerate(parts):  # a spelled part reaches to the next one, so that the digits touch
             word = part[0].lower()
             stop = parts[i + 1].start() if i + 1 < len(parts) else part.end()
-            edits.append((run.start() + part.start(), run.start() + stop, DIGIT.get(word, "+" if word == "plus" else ".")))
+            plain = part[0][-1].isdigit()
+            ahead = i + 1 < len(parts) and parts[i + 1][0][-1].isdigit()
+            point = stop > part.end() and gaps[i] == "." and (address or plain != ahead)
+            if plain:
+                if not (ahead or point) and stop > part.end():
+                    edits.append((run.start() + part.end(), run.start() + stop, ""))
+                continue
+            new = DIGIT.get(word, "+" if word == "plus" else ".")
+            edits.append((run.start() + part.start(), run.start() + (part.end() if point else stop), new))
     t.replace(edits)
 
 
+def has_signs(text: str) -> bool:
+    return bool(BRACKETED.search(text) or SIGN_WORD.search(text) and WORDED.search(text))
+
+
 def disguised(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Spans that only the transducers' output shows; a known span of its kind lies beside or properly inside it."""
     foreign = not text.isascii() and FOREIGN.search(text)
-    words = text.lower().replace("-", " ").split()
-    digits = sum(w.strip(",.") in DIGIT for w in words) >= RUN
-    mark = "dot" in words or BRACKETED.search(text)
+    digits = has_spelled(text)
+    mark = has_signs(text)
     if not (foreign or digits or mark):
         return []
     t = Mapped(text)
     if foreign:
         look_alikes(t)
-        mark = mark or " dot " in t.text or BRACKETED.search(t.text)
-    if digits or foreign:
+        digits, mark = has_spelled(t.text), has_signs(t.text)
+    if digits:
         spelled(t)
-    if mark:
+    if mark or digits:
         signs(t)
     taken: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     for a, b, kind in known:
