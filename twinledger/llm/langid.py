@@ -24,7 +24,7 @@ DIMENSIONS = 1 << BITS
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
 #: A text is rejected when its cosine is below this share of what all but so many pieces of training texts reach.
-REJECT, RARE = 0.25, 0.05
+REJECT, RARE = 0.16, 0.05
 #: Pieces that a bound needs; a language has its own bounds or, where it has fewer pieces, those of all languages.
 PIECES = 50
 #: Characters of a text that are counted at once.
