@@ -492,7 +492,7 @@ def test_prefix_hashes_answer_like_the_texts():
 
 def test_names():
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_drops_what_stages_reject_and_nothing_else(spark):
