@@ -261,15 +261,19 @@ def test_variants_of_nothing(spark):
 
 def test_tree_reaches_all_within_the_distance():
     rng = np.random.default_rng(4)
-    vectors = rng.integers(0, 4, (3000, spelling.COUNTERS)).astype("int32") * (rng.random((3000, spelling.COUNTERS)) < 0.2)
+    counts = (rng.integers(0, spelling.MOST + 1, (3000, spelling.COUNTERS)) * (rng.random((3000, spelling.COUNTERS)) < 0.2)).astype("uint8")
+    codes = spelling.codes_of(counts)
+    far = np.abs(counts[:100, None].astype(int) - counts[None]).sum(2)
+    assert (np.bitwise_count(codes[:100, None] ^ codes[None]).sum(2) == far).all()
     for tight in (True, False):
-        tree = spelling.KDTree(vectors, 50, tight)
+        tree = spelling.KDTree(counts, 50, tight)
         reached = defaultdict(set)
-        for node, rows in tree.reach(vectors[:100], 2):
+        for node, rows in tree.reach(codes[:100], 2):
             for r in rows.tolist():
                 reached[r].update(tree.leaves[node].tolist())
         for i in range(100):
-            assert set(np.flatnonzero(np.abs(vectors - vectors[i]).sum(1) <= 2).tolist()) <= reached[i]
+            assert set(np.flatnonzero(far[i] <= 2).tolist()) <= reached[i]
+        assert sum(map(len, reached.values())) < 100 * len(counts) / 2
 
 
 @pytest.mark.parametrize("name", ["op11_mix_sources", "op12_hard_negatives"])

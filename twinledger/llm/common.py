@@ -27,19 +27,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """``base`` behind as many underscores as it takes to clash with no column, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{base}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def columns_of(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
 
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
-    """Run ``work`` over a partition's Arrow batches; it yields columns by name, in any order."""
+    """Run ``work`` over a partition's Arrow batches; it yields columns by name, in any order, as lists or Arrow arrays."""
     small_batches(df.sparkSession)
     kind: StructType = _parse_datatype_string(schema)
     arrow = to_arrow_schema(kind)
 
+    def array(values, kind):
+        return values if isinstance(values, pa.Array) and values.type == kind else pa.array(values, kind)
+
     def run(batches):
         for found in work(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in arrow], schema=arrow)
+            yield pa.RecordBatch.from_arrays([array(found[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, kind)
 
