@@ -2,7 +2,7 @@
 
 The vocabulary's pre-tokens never hold a space behind another character, so a text may be cut before any space that
 follows a non-space and its parts encoded on their own.  Parts repeat: each worker asks the library's model
-once per part, pre-token by pre-token, and keeps the answer, in two generations of bounded size.
+once per part, pre-token by pre-token, and keeps the answer, up to a bounded number of parts.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import regex
 from public_tokenizers import PATTERN
 
 #: A space between two white-space characters, or behind one at the end: here a cut would part a pre-token.
-UNSAFE = re.compile(r"\s (?!\S)")
+UNSAFE = re.compile(r" (?<=\s )(?!\S)")
 # The byte-level alphabet gives printable Latin-1 bytes their own letter, all others one from 256 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHERS = [b for b in range(256) if b not in _PRINTABLE]
@@ -23,15 +23,29 @@ LETTER_OF_BYTE = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in
 CUT = re.compile(r"(?<=\S)(?= )")
 
 
+#: A line break beside other white space, or at the end: with it, it may be one pre-token.
+BESIDE = re.compile(r"\n(?:(?<=\s\n)|(?=\s|\Z))")
+#: A sign cut off from another sign, or from a space: they are one pre-token.
+SIGNS = re.compile(r"\0(?<=[^\w\0]\0|_\0)[,.]\0")
+
+
 def cut(text: str) -> list[str]:
-    """Parts of a text that share no pre-token; joined they are the text."""
+    """Parts of a text that share no pre-token; joined they are the text.
+
+    Texts are cut before spaces, around single line breaks, and before a comma or full stop that ends a part, so that
+    a word is one part whatever follows it.
+    """
     if "\0" in text or UNSAFE.search(text):
         return CUT.split(text)
-    return text.replace(" ", "\0 ").split("\0")
+    parts = text.replace(" ", "\0 ")
+    if "\n" in text and not BESIDE.search(text):
+        parts = parts.replace("\n", "\0\n\0")
+    finer = parts.replace(",\0", "\0,\0").replace(".\0", "\0.\0")
+    return (parts if SIGNS.search(finer) else finer).split("\0")
 
 
-#: Parts kept in each of the two generations, and the longest part that is kept.
-KEPT, KEPT_LENGTH = 600_000, 64
+#: Parts kept for good, parts kept beside them until there are so many, and the longest part that is kept.
+KEPT, KEPT_FOR_NOW, KEPT_LENGTH = 600_000, 300_000, 64
 
 
 class PartEncoder:
@@ -43,8 +57,10 @@ class PartEncoder:
 
         self.model = Tokenizer.from_file(path).model
         self.pattern = regex.compile(PATTERN)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        # What comes first is mostly what comes often, so it stays; the rest makes room for what comes later.
+        self.known: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
+        self.looked_up = self.unknown = 0
 
     def _ask(self, part: str) -> bytes:
         """Ids of one part: the library's model on each pre-token.  A word with or without a space before it is one."""
@@ -54,36 +70,41 @@ class PartEncoder:
         if len(pieces) == 1:
             piece = part.encode().decode("latin-1").translate(LETTER_OF_BYTE)
             return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
-        return b"".join([self.young.get(p) or self._ask(p) for p in pieces])
+        return b"".join([self.known.get(p) or self.later.get(p) or self._ask(p) for p in pieces])
+
+    def _room(self) -> None:
+        """Make room; where most parts have become unknown, the later ones take the place of the first."""
+        if len(self.later) > KEPT_FOR_NOW:
+            if 2 * self.unknown > self.looked_up:
+                self.known = self.later
+            self.later, self.looked_up, self.unknown = {}, 0, 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.young) > KEPT:
-            self.old, self.young = self.young, {}
-        known, older = self.young, self.old
+        self._room()
+        known, later = self.known, self.later
         done, waiting, new = [], [], set()
         for text in texts:
             parts = cut(text)
             found = list(map(known.get, parts))
+            self.looked_up += len(parts)
             if None in found:
                 places = [i for i, ids in enumerate(found) if ids is None]
+                self.unknown += len(places)
                 missed = [parts[i] for i in places]
                 new.update(missed)
                 waiting.append((len(done), found, places, missed))
                 done.append(None)
             else:
                 done.append(b"".join(found))
-        again = [(part, older[part]) for part in new if part in older]
-        known.update(again)
-        new.difference_update([part for part, _ in again])
-        for part in sorted(new, key=len):  # words alone come before words with signs behind them
-            known[part] = self._ask(part)
+        asked = {}
+        for part in sorted([p for p in new if p not in later], key=len):  # words come before words with signs behind them
+            ids = asked[part] = self._ask(part)
+            if len(part) <= KEPT_LENGTH:
+                (known if len(known) < KEPT else later)[part] = ids
         for at, found, places, missed in waiting:
             for i, part in zip(places, missed):
-                found[i] = known[part]
+                found[i] = asked[part] if part in asked else later[part]
             done[at] = b"".join(found)
-        for part in new:
-            if len(part) > KEPT_LENGTH:
-                del known[part]
         return done
 
 

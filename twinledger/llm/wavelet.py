@@ -187,7 +187,10 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, bi
                             yield file()
                         number = number + 1 if s == shard else 0
                         shard, held, ids, lengths, parts = s, 0, [], [], []
-                    part = np.frombuffer(found + end, "<u4").astype(kind)
+                    wide = np.frombuffer(found + end, "<u4")
+                    if int(wide.max()) >> bits:
+                        raise ValueError(f"an id needs more than {bits} bits")
+                    part = wide.astype(kind)
                     ids.append(doc_id)
                     lengths.append(len(part))
                     parts.append(part)
@@ -195,7 +198,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, bi
         if ids:
             yield file()
 
-    placed = with_bucket(docs, "doc_id", cuts, "_shard").repartition(max(1, len(cuts) + 1), "_shard")
+    placed = with_bucket(docs, "doc_id", cuts, "_shard").repartitionById(len(cuts) + 1, "_shard")  # a task each
     ordered = placed.sortWithinPartitions("_shard", F.col("doc_id").asc_nulls_first(), "text")
     map_batches(ordered, work, "shard int, file int, n_docs long, n_tokens long, data binary").write.parquet(path)
 
