@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from twinledger.llm.common import columns_of, held_out_column, map_batches, small_batches
 from twinledger.sources.storage import stored
 
-PER_LANGUAGE = 1000
+#: Rows that teach a language, and languages that are learned: the most frequent ones.
+PER_LANGUAGE, LANGUAGES = 1000, 200
 CENTROIDS = 4
 BITS = 15
 DIMENSIONS = 1 << BITS
@@ -87,29 +88,59 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-12)
 
 
-def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
+@dataclass
+class Sparse:
+    """Rows of few places each: row ``i`` has ``places`` and ``values`` from ``starts[i]`` to ``starts[i + 1]``."""
+
+    places: np.ndarray
+    values: np.ndarray
+    starts: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def take(self, rows: np.ndarray) -> "Sparse":
+        """The rows where ``rows`` is true."""
+        sizes = np.diff(self.starts)
+        kept = np.repeat(rows, sizes)
+        return Sparse(self.places[kept], self.values[kept], np.concatenate([[0], np.cumsum(sizes[rows])]))
+
+    def row(self, i: int) -> np.ndarray:
+        return self.sums(np.arange(len(self)) == i)
+
+    def sums(self, rows: np.ndarray) -> np.ndarray:
+        """Sum of the rows where ``rows`` is true."""
+        kept = np.repeat(rows, np.diff(self.starts))
+        return np.bincount(self.places[kept], self.values[kept], DIMENSIONS)
+
+    def products(self, c: np.ndarray) -> np.ndarray:
+        """Inner products of every row with every row of ``c``; no row is empty."""
+        return np.stack([np.add.reduceat(self.values * x[self.places], self.starts[:-1]) for x in c], axis=1)
+
+
+def cluster(x: Sparse, k: int, rounds: int = 12) -> np.ndarray:
     """Spherical k-means; each next start is the vector farthest from those before, so the result is always the same."""
-    starts = [unit(x.mean(0))]
+    starts = [unit(x.sums(np.ones(len(x), bool)))]
     for _ in range(1, min(k, len(x))):
-        starts.append(x[np.argmin((x @ np.array(starts).T).max(1))])
+        starts.append(x.row(int(np.argmin(x.products(np.array(starts)).max(1)))))
     c = np.array(starts)
     for _ in range(rounds):
-        own = (x @ c.T).argmax(1) == np.arange(len(c))[:, None]
-        c = np.where(own.any(1)[:, None], unit(own.astype(x.dtype) @ x), c)
+        own = x.products(c).argmax(1)
+        c = np.array([unit(x.sums(own == i)) if (own == i).any() else c[i] for i in range(len(c))])
     return c
 
 
-def typical(x: np.ndarray, k: int) -> np.ndarray:
+def typical(x: Sparse, k: int) -> np.ndarray:
     """Centroids that each at least a share of RARE of the rows has: rows in smaller clusters (junk that bears the
     language's name) are no lessons, and the others are clustered anew."""
     least = RARE * len(x)
     for last in (False, True):  # rows far from all others exist in every table, so this is done once
         c = cluster(x, k)
-        own = (x @ c.T).argmax(1)
+        own = x.products(c).argmax(1)
         few = np.bincount(own, minlength=len(c)) < least
         if last or not few[own].any():
             return c[~few]
-        x = x[~few[own]]
+        x = x.take(~few[own])
 
 
 @dataclass
@@ -161,61 +192,68 @@ def bounds(languages: int, seen: list[tuple[int, int, int, float]]) -> np.ndarra
     return least
 
 
+def _lessons(rows: DataFrame, per_language: int) -> DataFrame:
+    """``doc_id`` and ``lang`` of the ``per_language`` rows of every learned language whose ids have the least hashes.
+
+    Hashes are even, so that from the number of rows follows below which bound enough of them lie; only rows below it
+    are ranked, a bounded number of each language however many it has.
+    """
+    hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h"))
+    sizes = hashed.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(LANGUAGES)
+    enough = F.lit(per_language + 6 * per_language**0.5 + 20) / F.col("_n")
+    limits = F.broadcast(stored(sizes.withColumn("_share", enough).drop("_n"), "language-sizes"))  # LANGUAGES rows at most
+    below = hashed.join(limits, "lang").where(F.col("_h") / F.lit(2.0**64) + 0.5 <= F.col("_share"))
+    first = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    chosen = below.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language)
+    return stored(chosen.select("doc_id", "lang").distinct(), "language-rows")
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> Languages:
     """Learn from rows of the training fold with a language and a text; null ids teach nothing.
 
-    ``per_language`` bounds what reaches the driver: so many vectors of ``DIMENSIONS`` numbers of one language at a
-    time.  Ids that repeat teach with each of their rows as long as the bound allows.
+    ``per_language`` bounds the rows of one language, ``LANGUAGES`` the languages; a task clusters one language.  The
+    driver holds the centroids and one number per dimension.  Ids that repeat teach with each of their rows.
     """
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(~held_out_column())
-    ranked = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h"))
-    first = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    chosen = ranked.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language)
-    chosen = stored(chosen.select("doc_id", "lang").distinct(), "language-rows")  # bounded: per_language ids each
+    chosen = _lessons(rows, per_language)  # bounded: per_language ids of each language
     texts = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
 
     def vectors(batches):
         for batch in batches:
-            langs, bodies = columns_of(batch, "lang", "text")
-            found = [(lang, c) for lang, text in zip(langs, bodies) if (c := counts(text)) is not None]
-            places = [np.flatnonzero(c) for _, c in found]
-            yield {
-                "lang": [lang for lang, _ in found],
-                "place": [p.astype("int32") for p in places],
-                "n": [c[p].astype("float32") for (_, c), p in zip(found, places)],
-            }
+            out = {"lang": [], "place": [], "n": []}
+            for lang, text in zip(*columns_of(batch, "lang", "text")):
+                c = counts(text)
+                if c is not None:
+                    p = np.flatnonzero(c)
+                    out["lang"].append(lang)
+                    out["place"].append(p.astype("int32"))
+                    out["n"].append(c[p].astype("float32"))
+            yield out
 
     sample = stored(map_batches(texts, vectors, "lang string, place array<int>, n array<float>"), "language-vectors")
-    found = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
-
-    def matrix(lang: str) -> np.ndarray:
-        part = sample.where(F.col("lang") == lang).limit(per_language).toArrow()
-        x = np.zeros((part.num_rows, DIMENSIONS), "float32")
-        for i, (p, n) in enumerate(zip(part["place"], part["n"])):
-            x[i, p.values.to_numpy()] = n.values.to_numpy()
-        return x
-
-    def weighted(x: np.ndarray) -> np.ndarray:
-        """In place, for the matrix is the largest thing on the driver."""
-        np.sqrt(x, out=x)
-        x *= idf
-        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]
-        return x
-
-    frequency, rows_seen = np.zeros(DIMENSIONS), 0
-    for lang in found:  # one language's vectors at a time are on the driver
-        x = matrix(lang)
-        frequency += (x > 0).sum(0)
-        rows_seen += len(x)
+    frequency, rows_seen = np.zeros(DIMENSIONS), sample.count()
+    for place, n in sample.select(F.explode("place").alias("place")).groupBy("place").agg(F.count("*")).collect():
+        frequency[place] = n  # one row per dimension at most
     idf = (np.log((1 + rows_seen) / (1 + frequency)) + 0.1).astype("float32")
+
+    def clustered(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.head(per_language)
+        sizes = part["place"].map(len).to_numpy()
+        places = np.concatenate(part["place"].to_list())
+        values = np.sqrt(np.concatenate(part["n"].to_list())) * idf[places]
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        values /= np.repeat(np.maximum(np.sqrt(np.add.reduceat(values * values, starts[:-1])), 1e-12), sizes)
+        c = typical(Sparse(places, values, starts), centroids).astype("float32")
+        return pd.DataFrame({"lang": part["lang"].iloc[0], "centroid": list(c)})
+
+    learned = sample.groupBy("lang").applyInPandas(clustered, "lang string, centroid array<float>")
+    learned = stored(learned.withColumn("_n", F.monotonically_increasing_id()), "centroids").orderBy("lang", "_n").toArrow()
     names, all_centroids, language = [], [], []
-    for lang in found:
-        x = None  # the one before goes first
-        x = weighted(matrix(lang))
-        c = typical(x, centroids)
-        names.append(lang)
-        all_centroids.append(c)
-        language += [len(names) - 1] * len(c)
+    for lang, c in zip(learned["lang"].to_pylist(), learned["centroid"]):
+        if not names or names[-1] != lang:
+            names.append(lang)
+        language.append(len(names) - 1)
+        all_centroids.append(c.values.to_numpy())
     if not names:
         return Languages(idf, [], np.zeros((0, DIMENSIONS)), np.zeros(0, "int64"))
     model = Languages(idf, names, np.vstack(all_centroids), np.array(language))
