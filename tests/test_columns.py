@@ -56,7 +56,15 @@ ORDERED = {
 FARTHER = {"num": "abs(prod_value - uat_value) <= 1", "amount": "prod_value = uat_value or prod_value < uat_value"}
 
 
-@pytest.mark.parametrize("where", [ORDERED, FARTHER])
+# Distances between values, all counted over ranges.
+DISTANCES = [
+    {"num": "abs(prod_value - uat_value) < 0.1", "amount": "0.25 >= abs(uat_value - prod_value) and uat_value <> 0.5"},
+    {"num": "prod_value > 1 or not abs(prod_value - uat_value) > 2.75", "amount": "abs(prod_value - uat_value) >= 0.5"},
+    {"num": "abs(prod_value - uat_value) <= 0", "amount": "abs(prod_value - uat_value) < 0.750 or uat_value is null"},
+]
+
+
+@pytest.mark.parametrize("where", [ORDERED, FARTHER, *DISTANCES])
 def test_comparisons_across_the_sides(spark, where):
     c = col_ops.compare(table(spark, 7), table(spark, 8), ["k1"], where=where, null_safe=True)
     assert not c.notes
@@ -64,6 +72,20 @@ def test_comparisons_across_the_sides(spark, where):
     assert got == joined_counts(c) and sum(r[4] or 0 for r in got) > 0
 
 
+def test_distances_round_as_pairs_do(spark):
+    """Doubles whose differences lie on either side of the bound only by their rounding, and none that is no number."""
+    rnd = random.Random(4)
+    near = [0.1 * i + d for i in range(12) for d in (0.0, 2**-55, -(2**-54), 1e-16)] + [1e17, 1e17 + 16, -1e-300, 5e-324, 1e308, -1e308]
+    near += [float("inf"), float("-inf"), float("nan"), None]
+    sides = [
+        spark.createDataFrame([(1, rnd.choice(near)) for _ in range(250)] + [(2, x) for x in near], "k int, v double") for _ in range(2)
+    ]
+    for bound in ("0.1", "0.30000000000000004", "16"):
+        for sign in ("<=", "<"):
+            c = col_ops.compare(*sides, ["k"], where={"v": f"abs(prod_value - uat_value) {sign} {bound}"})
+            assert not c.notes and sorted(map(tuple, col_ops.column_diff(c).collect())) == joined_counts(c)
+
+
 @pytest.mark.parametrize("null_safe", [False, True])
 @pytest.mark.parametrize("null_explains", [False, True])
 def test_repeated_keys_count_like_the_join(spark, null_safe, null_explains):

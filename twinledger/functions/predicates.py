@@ -30,6 +30,7 @@ _TOKEN = re.compile(
     r"\s*(?:(?P<text>'(?:[^']|'')*'|\"[^\"']*\")|(?P<number>\d+(?:\.\d+)?)|(?P<word>[A-Za-z_]\w*)"
     r"|(?P<sign>::|==|<=|>=|<>|!=|[=<>+\-*/(),]))"
 )
+_NUMBER = re.compile(r"\d+(?:\.\d+)?")
 _COMPARES = {"=", "==", "<", ">", "<=", ">=", "<>", "!="}
 # Comparisons, and what they read like with both sides exchanged.
 _MIRRORED = {"=": "=", "<>": "<>", "<": ">", "<=": ">=", ">": "<", ">=": "<="}
@@ -47,6 +48,7 @@ class Piece:
     sql: str
     sides: frozenset = frozenset()
     joins: bool = False  # a boolean word or a bracket around conditions
+    gap: tuple[Piece, Piece] | None = None  # of ``abs(left term - right term)`` the two terms
 
     def on(self, left: str, right: str) -> str:
         return self.sql.replace(_L, left).replace(_R, right)
@@ -57,9 +59,11 @@ class Condition(Piece):
     """A condition between boolean words.
 
     ``compares`` is set for ``left term <operator> right term``: the operator, seen from the left, and both terms.
+    ``within`` is set for ``abs(left term - right term) <operator> number``, as (operator, left term, right term, number).
     """
 
     compares: tuple[str, Piece, Piece] | None = None
+    within: tuple[str, Piece, Piece, str] | None = None
 
 
 @dataclass(frozen=True)
@@ -102,7 +106,12 @@ def _call(name: str, inner: list[Piece], text_values: bool, half_even: bool) ->
         "len": f"length({args})",
         "": f"({args})",
     }.get(name, f"{name}({args})")
-    return Piece(sql, sides)
+    gap = None
+    if name == "abs" and len(inner) == 3 and inner[1].sql == "-" and not text_values:
+        ends = {p.sides: p for p in (inner[0], inner[2])}
+        if ends.keys() == {frozenset({"left"}), frozenset({"right"})}:
+            gap = ends[frozenset({"left"})], ends[frozenset({"right"})]
+    return Piece(sql, sides, gap=gap)
 
 
 ARITHMETIC = ("+", "-", "*", "/", "%")
@@ -190,6 +199,14 @@ def read(text: str, text_values: bool = False, half_even: bool = False) -> Predi
     return Predicate(tuple(_conditions(levels[0])))
 
 
+def _within(run: list[Piece]) -> tuple[str, Piece, Piece, str] | None:
+    """A distance between both sides compared with a number, whichever stands first."""
+    if len(run) != 3 or run[1].sql not in ("<", "<=", ">", ">="):
+        return None
+    gap, sign, number = (run[0], run[1].sql, run[2]) if run[0].gap else (run[2], _MIRRORED[run[1].sql], run[0])
+    return (sign, *gap.gap, number.sql) if gap.gap and _NUMBER.fullmatch(number.sql) else None
+
+
 def _conditions(pieces: list[Piece]) -> list[Piece]:
     out: list[Piece] = []
     run: list[Piece] = []
@@ -203,7 +220,7 @@ def _conditions(pieces: list[Piece]) -> list[Piece]:
             }:
                 first, sign, second = run[0], run[1].sql, run[2]
                 terms = (sign, first, second) if "left" in first.sides else (_MIRRORED[sign], second, first)
-            out.append(Condition(" ".join(p.sql for p in run), sides, compares=terms))
+            out.append(Condition(" ".join(p.sql for p in run), sides, compares=terms, within=_within(run)))
             run.clear()
 
     for p in pieces:

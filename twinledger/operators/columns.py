@@ -14,20 +14,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from twinledger.functions.normalise import groupable, quoted, table_value
-from twinledger.functions.predicates import Condition, Predicate, explained, usable
+from twinledger.functions.predicates import Predicate, explained, usable
 from twinledger.operators.fingerprint import cell_text, shown_text
 from twinledger.operators.joins import join_on, mark_keys
 from twinledger.operators.keys import LEFT_N, RIGHT_N, any_null, side_counts
+from twinledger.operators.residuals import PAIRS, pair_counts
 from twinledger.sources.storage import stored
 
-PAIRS = T.DecimalType(38, 0)  # numbers of row pairs outgrow 64 bits
-
-
 
 def compared_columns(left: DataFrame, right: DataFrame, keys: Iterable[str], excluded: Iterable[str] = ()) -> list[str]:
     """Columns of both sides that are neither key nor excluded, in left order."""
@@ -207,7 +204,7 @@ def fan_out_counts(c: Comparison, dups: DataFrame) -> DataFrame:
 
     Keys that occur once are joined.  For repeated keys the number of pairs is the product of both
     row counts and the number of equal pairs follows from how often each value occurs on each side,
-    so no pair is formed, however many rows a key has.
+    so no pair is formed, however many rows a key has.  Residuals follow likewise (``residuals``).
     """
     left, right = _marked(c, dups)
     single = mismatch_counts(c, _join_single(c, left, right))
@@ -215,24 +212,10 @@ def fan_out_counts(c: Comparison, dups: DataFrame) -> DataFrame:
         _cells(c, _repeated(left), "l"), _cells(c, _repeated(right), "r"), [*c.key_names, "i", "v"]
     )
     if c.has_where:
-        # Each predicate looks at its own column's values again.
-        values = stored(values, "fan-out-values", by="i")
-    l, r = F.col(LEFT_N).cast(T.DecimalType(19, 0)), F.col(RIGHT_N).cast(T.DecimalType(19, 0))
-    per_cell = values.groupBy(*c.key_names, "i").agg(
-        F.sum(l).cast(T.DecimalType(19, 0)).alias("ln"),
-        F.sum(r).cast(T.DecimalType(19, 0)).alias("rn"),
-        F.sum((l * r).cast(PAIRS)).alias("equal"),
-    )
-    pairs = (F.col("ln") * F.col("rn")).cast(PAIRS)
-    many = per_cell.groupBy(F.col("i").alias("ordinal")).agg(
-        F.sum(pairs).alias("shared2"), F.sum((pairs - F.col("equal")).cast(PAIRS)).alias("mismatches2")
-    )
+        # Comparisons across the sides look at the values again.
+        values = stored(values, "fan-out-values")
+    many = pair_counts(c, values)
     out = single.join(many, "ordinal", "left")
-    residuals = [_fan_out_residual(c, values, i) for i in sorted(c.has_where)]
-    if residuals:
-        out = out.join(reduce(DataFrame.unionByName, residuals), "ordinal", "left")
-    else:
-        out = out.withColumn("residual2", F.lit(None).cast(PAIRS))
 
     def plus(name: str) -> Column:
         total = F.col(name) + F.coalesce(F.col(f"{name}2"), F.lit(0).cast(PAIRS))
@@ -241,141 +224,6 @@ def fan_out_counts(c: Comparison, dups: DataFrame) -> DataFrame:
     return out.select("column", "ordinal", plus("shared"), plus("mismatches"), plus("residual"))
 
 
-# Comparison: the relation counted for it, and what the comparison comes to where that holds or fails.
-_COUNTED = {
-    "=": ("=", "true", "false"), "<>": ("=", "false", "true"), "<": ("<", "true", "false"),
-    "<=": ("<=", "true", "false"), ">": ("<=", "false", "true"), ">=": ("<", "false", "true"),
-}
-
-
-def _typed(text: Column, dtype: T.DataType) -> Column:
-    """Inverse of the text a value was grouped by."""
-    if isinstance(dtype, T.BinaryType):
-        return F.unhex(text)
-    if isinstance(dtype, T.TimestampType):
-        return F.timestamp_micros(text.cast("bigint"))
-    return text.cast(dtype)
-
-
-def _fan_out_residual(c: Comparison, values: DataFrame, i: int) -> DataFrame:
-    """Unexplained pairs of one column over repeated keys: ``(ordinal, residual2)``.
-
-    Values are grouped by what the predicate can tell apart: the outcome of each condition on one side
-    and, for a condition that compares a left with a right term, that term.  All pairs of a key are first
-    counted as if the comparison held for none, then corrected by the pairs it does hold for, which follow
-    from joining equal terms or from running counts of ordered terms; last, pairs of equal values, which
-    are no difference, are taken off.  Only a predicate with further conditions across the sides (a
-    distance, or two different comparisons) falls back to pairing the distinct values of a key.
-    """
-    dtype = c.left.schema[f"l{i}"].dataType
-    rows = values.where(F.col("i") == i).select(*c.key_names, _typed(F.col("v"), dtype).alias("v"), LEFT_N, RIGHT_N)
-    predicate = c.predicates.get(i)
-    parts = list(predicate.parts) if predicate else []
-    conditions = [p for p in parts if isinstance(p, Condition)]
-    across = [p for p in conditions if len(p.sides) == 2]
-    by_term = bool(across) and len({p.sql for p in across}) == 1 and across[0].compares is not None
-    # <>, > and >= are the opposites of =, <= and <.
-    sign, *terms = across[0].compares if by_term else ("=", None, None)
-    relation, holds, fails = _COUNTED[sign]
-    by_value = bool(across) and not by_term
-
-    def groups(side: str, count: str, n: str) -> DataFrame:
-        own = [p for p in conditions if p.sides == frozenset({side})]
-        if by_term:
-            term = F.expr(terms[0 if side == "left" else 1].on("v", "v"))
-        else:
-            term = F.col("v") if by_value else F.lit(None).cast("string")
-        picked = rows.where(F.col(count) > 0).select(
-            *c.key_names,
-            *[F.expr(p.on("v", "v")).alias(f"{side}_{j}") for j, p in enumerate(own)],
-            term.alias(f"{side}_term"),
-            F.col(count).alias(n),
-        )
-        return picked.groupBy(*picked.columns[:-1]).agg(F.sum(n).cast(T.DecimalType(19, 0)).alias(n))
-
-    def unexplained_if(compared: str) -> Column:
-        """Outcome of the whole predicate, given that of its comparison across the sides."""
-        seen, sql = {"left": 0, "right": 0}, []
-        for p in parts:
-            if not isinstance(p, Condition) or not p.sides:
-                sql.append(p.sql)
-            elif len(p.sides) == 1:
-                (side,) = p.sides
-                sql.append(f"{side}_{seen[side]}")
-                seen[side] += 1
-            else:
-                sql.append(p.on("left_term", "right_term") if by_value else compared)
-        outcome = F.expr(" ".join(sql)) if sql else F.lit(False)
-        return ~F.coalesce(outcome, F.lit(c.null_explains))
-
-    def total(df: DataFrame, n: Column) -> DataFrame:
-        return df.agg(F.coalesce(F.sum(n.cast(PAIRS)), F.lit(0)).cast(PAIRS).alias("n"))
-
-    pairs = F.col("ln") * F.col("rn")
-    left, right = groups("left", LEFT_N, "ln"), groups("right", RIGHT_N, "rn")
-    if by_value:
-        all_pairs = join_on(left, right, c.key_names, c.null_safe, "inner")
-    else:
-
-        def without_term(df: DataFrame, side: str, n: str) -> DataFrame:
-            marked = df.withColumn(f"{side}_null", F.col(f"{side}_term").isNull()).drop(f"{side}_term")
-            return marked.groupBy(*[x for x in marked.columns if x != n]).agg(
-                F.sum(n).cast(T.DecimalType(19, 0)).alias(n)
-            )
-
-        all_pairs = join_on(
-            without_term(left, "left", "ln"), without_term(right, "right", "rn"), c.key_names, c.null_safe, "inner"
-        ).withColumn("none", F.when(~(F.col("left_null") | F.col("right_null")), F.expr(fails)))
-    sums = [total(all_pairs.where(unexplained_if("none")), pairs)]
-    if by_term:
-        l, r = [
-            side.withColumnRenamed(f"{name}_term", "term").where(F.col("term").isNotNull())
-            for side, name in ((left, "left"), (right, "right"))
-        ]
-        if relation == "=":
-            met = join_on(l, r, [*c.key_names, "term"], c.null_safe, "inner")
-        else:
-            met = _below(c, l, r, or_equal=relation == "<=")
-        change = unexplained_if(holds).cast("int") - unexplained_if(fails).cast("int")
-        sums.append(total(met, pairs * change))
-    same = explained(predicate, "v", "v", c.null_explains)
-    equal = F.col(LEFT_N).cast(T.DecimalType(19, 0)) * F.col(RIGHT_N).cast(T.DecimalType(19, 0))
-    sums.append(total(rows.where(~same), -equal))
-    return total(reduce(DataFrame.unionByName, sums), F.col("n")).select(
-        F.lit(i).alias("ordinal"), F.col("n").alias("residual2")
-    )
-
-
-def _below(c: Comparison, left: DataFrame, right: DataFrame, or_equal: bool) -> DataFrame:
-    """Right groups with ``ln``, how many left rows of their key have a smaller (or equal) term.
-
-    One row per right group and outcome of the left conditions.  The running count is taken over ranges
-    of (key, outcomes, term), each a bounded part of all rows, plus what lies in earlier ranges of the
-    same key, so a key with very many terms spreads over many tasks.
-    """
-    outcomes = [x for x in left.columns if x not in (*c.key_names, "term", "ln")]
-    own = [x for x in right.columns if x not in (*c.key_names, "term", "rn")]
-    asked = join_on(right, left.select(*c.key_names, *outcomes).distinct(), c.key_names, c.null_safe, "inner")
-    group = [*c.key_names, *outcomes]
-    both = left.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True)), allowMissingColumns=True)
-    # Written once, so that the ranges stay the same for the two uses below.
-    ranged = stored(
-        both.repartitionByRange(*group, "term").withColumn("part", F.spark_partition_id()), "ranges"
-    )
-    counted = F.coalesce(F.sum("ln").over(
-        Window.partitionBy("part", *group).orderBy("term").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ), F.lit(0))
-    here = F.coalesce(F.sum("ln").over(Window.partitionBy("part", *group, "term")), F.lit(0))
-    inside = ranged.withColumn("inside", counted if or_equal else counted - here).where("asks")
-    # One row per key and range it reaches into.
-    sizes = ranged.groupBy(*group, "part").agg(F.coalesce(F.sum("ln"), F.lit(0)).alias("size"))
-    earlier = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(*group, "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
-    found = join_on(inside.drop("ln"), sizes, [*group, "part"], True, "inner")
-    count = (F.col("before") + F.col("inside")).cast(T.DecimalType(19, 0))
-    return found.select(*group, *own, "rn", count.alias("ln"))
-
-
 def column_diff(c: Comparison, dups: DataFrame | None = None) -> DataFrame:
     """Tall mismatch counts over shared keys: ``(column, ordinal, shared, mismatches, residual)``.
 
