@@ -169,18 +169,78 @@ def csv_extract_scan(i):
     return extract.df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in extract.columns])
 
 
-@query(
-    "csv_extract_texts",
-    "SELECT CAST(doc_id AS STRING) AS doc_id, lang, replace(text, chr(13), ' ') AS text FROM {documents}",
-)
+# Line breaks in cells read as LF, whichever they were written as.
+_LF = "replace(replace({0}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+
+
+@query("csv_extract_texts", f"SELECT CAST(doc_id AS STRING) AS doc_id, lang, {_LF.format('text')} AS text FROM {{documents}}")
 def csv_extract_texts(i):
     """Whole texts with quotes, delimiters and line breaks through a CSV file and back."""
     folder = new_path(i.spark, "extract") + "/documents.csv"
-    texts = i.sql("SELECT CAST(doc_id AS STRING) AS doc_id, lang, replace(text, chr(13), ' ') AS text FROM {documents}")
+    texts = i.sql("SELECT CAST(doc_id AS STRING) AS doc_id, lang, text FROM {documents}")
     texts.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(folder)
     return read_extract(i.spark, folder).df.select("doc_id", "lang", "text")
 
 
+_ENDINGS = "CASE WHEN doc_id % 2 = 0 THEN replace(text, chr(10), chr(13) || chr(10)) ELSE text END"
+
+
+@query(
+    "csv_line_endings",
+    f"SELECT CAST(doc_id AS STRING) AS doc_id, {_LF.format(_ENDINGS)} AS text, lang, n FROM "
+    "(SELECT *, CASE WHEN doc_id % 3 = 0 THEN chr(10) || chr(10) ELSE '' END AS n FROM {documents}) t",
+)
+def csv_line_endings(i):
+    """Records that end in CRLF, with cells that hold any line break, blank lines among them; read in splits."""
+    folder = new_path(i.spark, "extract")
+    cell = "'\"' || replace({0}, '\"', '\"\"') || '\"'".format
+    lines = i.sql(
+        f"SELECT CAST(doc_id AS STRING) || ',' || {cell(_ENDINGS)} || ',' || lang || ',' || "
+        "CASE WHEN doc_id % 3 = 0 THEN '\"' || chr(10) || chr(10) || '\"' ELSE '' END AS value FROM {documents}"
+    )
+    i.spark.range(1).selectExpr("'doc_id,text,lang,n' AS value").write.option("lineSep", "\r\n").text(f"{folder}/a")
+    lines.write.option("lineSep", "\r\n").text(f"{folder}/b")
+    return read_extract(i.spark, [f"{folder}/a", f"{folder}/b"]).df.select("doc_id", "text", "lang", "n")
+
+
+_RAW = {"header": True, "quote": "", "sep": "\x01", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+_BLANKS = """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN chr(9) || chr(9) WHEN 1 THEN ' ' || chr(9) || '  ' || chr(9)
+    WHEN 2 THEN chr(9) ELSE CAST(o_orderkey AS STRING) || chr(9) || o_orderstatus || chr(9) || o_orderpriority END AS value FROM {orders}"""
+
+
+@query(
+    "csv_blank_rows_tab",
+    """SELECT CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN ' ' WHEN 2 THEN '' ELSE CAST(o_orderkey AS STRING) END AS id,
+  CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN '  ' WHEN 2 THEN '' ELSE o_orderstatus END AS status,
+  CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE o_orderpriority END AS priority,
+  CASE WHEN o_orderkey % 5 = 2 THEN 1 ELSE 0 END AS ragged FROM {orders}""",
+)
+def csv_blank_rows_tab(i):
+    """A tab file in which most rows hold nothing but blanks and tabs: each is a row with as many cells as it has."""
+    folder = new_path(i.spark, "extract") + "/blank.csv"
+    i.sql(_BLANKS).select(F.col("value").alias("id\tstatus\tpriority")).write.options(**_RAW).csv(folder)
+    return read_extract(i.spark, folder, delimiter="\t").df.select("id", "status", "priority", F.col("__ragged").alias("ragged"))
+
+
+@query(
+    "csv_parts_mixed_headers",
+    """SELECT CAST(o_orderkey AS STRING) AS id, CASE WHEN o_orderkey % 3 <> 1 THEN COALESCE(o_orderstatus, '') END AS status,
+  o_orderpriority AS priority, CASE WHEN o_orderkey % 3 = 1 THEN COALESCE(CAST(o_custkey AS STRING), '') END AS customer FROM {orders}""",
+)
+def csv_parts_mixed_headers(i):
+    """Parts of one view with their own headers, in other orders and with other columns, and parts without any."""
+    folder = new_path(i.spark, "extract")
+    parts = (
+        ("a", 0, "CAST(o_orderkey AS STRING) AS ID, o_orderstatus AS Status, o_orderpriority AS priority", True),
+        ("b", 1, "o_orderpriority AS priority, CAST(o_custkey AS STRING) AS customer, CAST(o_orderkey AS STRING) AS id", True),
+        ("c", 2, "CAST(o_orderkey AS STRING) AS x, o_orderstatus AS y, o_orderpriority AS z", False),
+    )
+    for name, n, columns, header in parts:
+        rows = i.sql(f"SELECT {columns} FROM {{orders}} WHERE o_orderkey % 3 = {n}")
+        rows.write.option("header", header).option("emptyValue", "").csv(f"{folder}/{name}")
+    return read_extract(i.spark, [f"{folder}/{name}" for name, *_ in parts]).df.select("id", "status", "priority", "customer")
+
+
 _LINES = """SELECT CASE o_orderkey % 10
     WHEN 0 THEN CAST(o_orderkey AS STRING) || ',' || o_orderstatus
     WHEN 1 THEN CAST(o_orderkey AS STRING) || ',' || o_orderstatus || ',' || o_orderpriority || ',extra'
