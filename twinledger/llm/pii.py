@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -19,7 +21,9 @@ KINDS = ("email", "ip", "card", "phone")
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+#: Numbers parted by points, as many as there are; every four of them are one match of the address pattern.
+DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+NUMBER = re.compile(r"[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Where digits with dots, or twelve digits, may begin: four digits or signs between them.
@@ -48,13 +52,22 @@ def emails(text: str):
         at = text.find("@", max(done, at + 1))
 
 
+def addresses(text: str):
+    """Spans of four numbers parted by points, leftmost and non-overlapping."""
+    for m in DOTTED.finditer(text):
+        if m[0].count(".") >= 3:
+            parts = [n.span() for n in NUMBER.finditer(text, *m.span())]
+            for i in range(0, len(parts) - 3, 4):
+                yield parts[i][0], parts[i + 3][1]
+
+
 def base(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every match, leftmost and non-overlapping per kind; failing matches are dropped."""
     found = [(a, b, "email") for a, b in emails(text)] if "@" in text else []
     if DIGITS.search(text):
-        for m in IP.finditer(text):
-            if all(len(p.lstrip("0")) < 4 and int(p[-4:]) <= 255 for p in m[0].split(".")):
-                found.append((*m.span(), "ip"))
+        for a, b in addresses(text):
+            if all(len(p.lstrip("0")) < 4 and int(p[-4:]) <= 255 for p in text[a:b].split(".")):
+                found.append((a, b, "ip"))
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 12 <= len(digits) <= 19 and luhn(digits):
@@ -100,15 +113,62 @@ TOKEN = re.compile(r"\w+")
 BRACKETED = re.compile(r"(?i)\s?[\[({<]\s?(at|@|dot|punkt|point|punto|\.)\s?[\])}>]\s?")
 # Ends of domain names that count where "dot" stands as a plain word.
 ENDS = "com|org|net|edu|gov|info|io|co|de|fr|es|uk|eu|us|ai|dev|app|biz|ch|at|it|nl|example|test"
-WORDED = re.compile(
-    rf"(?i)(?<![\w.])[a-z0-9][a-z0-9_%+-]*(?:(?:\s+dot\s+|\.)[a-z0-9_%+-]+)*(?:\s+at\s+|@)"
-    rf"[a-z0-9-]+(?:(?:\s+dot\s+|\.)[a-z0-9-]+)*(?:\s+dot\s+|\.)(?:{ENDS})(?!\w)"
-)
+#: Behind the sign of an address in words: names and "dot" or points up to one of these ends.
+WORDED_DOMAIN = re.compile(rf"(?i)[a-z0-9-]+(?:(?:\s+dot\s+|\.)[a-z0-9-]+)*(?:\s+dot\s+|\.)(?:{ENDS})(?!\w)")
+AT = re.compile(r"(?i)(?<=\s)at(?=\s)|@")
+NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
 WORD_SIGN = re.compile(r"(?i)\s+(at|dot)\s+")
-#: What WORDED and BRACKETED cannot do without.
+#: What an address in words has.
 SIGN_WORD = re.compile(r"(?i)\s(?:at|dot)\s")
 
 
+def _name_before(text: str, at: int, done: int) -> int | None:
+    """Where the name that ends at ``at`` begins: names parted by points or "dot", behind what is neither word nor point."""
+    start, end = None, at
+    while True:
+        here = end
+        while here > done and text[here - 1] in NAME:
+            here -= 1
+        if here == end:
+            break
+        for p in range(end - 1, here - 1, -1):
+            before = text[p - 1] if p else " "
+            if text[p] not in "_%+-" and before != "." and before != "_" and not before.isalnum():
+                start = p
+        gap = here
+        if gap > done and text[gap - 1] == ".":
+            end = gap - 1
+            continue
+        while gap > done and text[gap - 1].isspace():
+            gap -= 1
+        if gap == here or text[max(done, gap - 3) : gap].lower() != "dot":
+            break
+        end = gap - 3
+        while end > done and text[end - 1].isspace():
+            end -= 1
+        if end == gap - 3:
+            break
+    return start
+
+
+def worded(text: str):
+    """Spans of addresses with words for signs, leftmost and non-overlapping: from each sign outwards."""
+    done = 0
+    for m in AT.finditer(text):
+        a, b = m.span()
+        if m[0] != "@":
+            while a > done and text[a - 1].isspace():
+                a -= 1
+            while b < len(text) and text[b].isspace():
+                b += 1
+        domain = WORDED_DOMAIN.match(text, b) if a > done and text[a - 1] in NAME else None
+        if domain:
+            start = _name_before(text, a, done)
+            if start is not None:
+                done = domain.end()
+                yield start, done
+
+
 class Mapped:
     """A text and, for each of its characters, the range of the source it stands for."""
 
@@ -151,10 +211,10 @@ def look_alikes(t: Mapped) -> None:
 def signs(t: Mapped) -> None:
     t.replace([(*m.span(), "@" if m[1].lower() in ("at", "@") else ".") for m in BRACKETED.finditer(t.text)])
     edits = []
-    for whole in WORDED.finditer(t.text):
-        marks = list(WORD_SIGN.finditer(whole[0]))
-        if sum(m[1].lower() == "at" for m in marks) + whole[0].count("@") == 1:
-            edits += [(whole.start() + m.start(), whole.start() + m.end(), "@" if m[1].lower() == "at" else ".") for m in marks]
+    for a, b in worded(t.text):
+        marks = list(WORD_SIGN.finditer(t.text, a, b))
+        if sum(m[1].lower() == "at" for m in marks) + t.text.count("@", a, b) == 1:
+            edits += [(*m.span(), "@" if m[1].lower() == "at" else ".") for m in marks]
     t.replace(edits)
 
 
@@ -176,15 +236,19 @@ def spelled(t: Mapped) -> None:
     edits = []
     whole = None
     for run in SPELLED_RUN.finditer(t.text):
-        parts = list(SPELLED_PART.finditer(run[0]))
+        text = run[0]
+        parts = list(SPELLED_PART.finditer(text))
         words = [p for p in parts if p[0].lower() in DIGIT]
         if not words:
             continue
         if len(words) == 1 and len(parts) > 1:
-            whole = base(t.text) if whole is None else whole
-            if any(a < run.end() and run.start() < b and kind != "email" for a, b, kind in whole):
+            if whole is None:
+                numbers = [(a, b) for a, b, kind in base(t.text) if kind != "email"]
+                whole = [a for a, _ in numbers], list(accumulate((b for _, b in numbers), max))
+            last = bisect_left(whole[0], run.end())
+            if last and whole[1][last - 1] > run.start():
                 continue
-        gaps = [run[0][p.end() : q.start()] for p, q in zip(parts, parts[1:])]
+        gaps = [text[p.end() : q.start()] for p, q in zip(parts, parts[1:])]
         address = len(parts) == 4 and gaps == ["."] * 3
         for i, part in enumerate(parts):  # a spelled part reaches to the next one, so that the digits touch
             word = part[0].lower()
@@ -202,7 +266,7 @@ def spelled(t: Mapped) -> None:
 
 
 def has_signs(text: str) -> bool:
-    return bool(BRACKETED.search(text) or SIGN_WORD.search(text) and WORDED.search(text))
+    return bool(BRACKETED.search(text) or SIGN_WORD.search(text) and next(worded(text), None))
 
 
 def disguised(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -226,8 +290,11 @@ def disguised(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, i
     out = []
     for a, b, kind in base(t.text):
         if any(t.changed[a:b]):
-            span = t.start[a], t.end[b - 1]
-            if all(span[1] <= x or y <= span[0] or (span[0] <= x and y <= span[1] and span != (x, y)) for x, y in taken[kind]):
+            span, spans = (t.start[a], t.end[b - 1]), taken[kind]
+            # Known spans of a kind ascend and do not overlap: those that meet this one stand together.
+            first = bisect_right(spans, span[0], key=lambda s: s[1])
+            meets = spans[first : bisect_left(spans, span[1], key=lambda s: s[0])]
+            if all(span[0] <= x and y <= span[1] and span != (x, y) for x, y in meets):
                 out.append((*span, kind))
     return out
 
