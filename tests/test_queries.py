@@ -13,8 +13,10 @@ from conftest import SMALL
 
 load()
 
-# These collect small results on the way or read files they wrote: their plans are not looked at.
-NO_PLAN = ("ladder", "csv_extract", "csv_ragged")
+# These collect small results on the way: the plan that is left says nothing.
+NO_PLAN = ("ladder",)
+# What no SQL is given for.
+WITHOUT_SQL = {"ladder_model_tiers"}
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +32,7 @@ def test_agrees_with_sql(spark, duck, name):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|EvalPython|InPandas", plan)
     status, rows, why = check.compare(spark, duck, name, SMALL, df)
-    assert status in ("ok", "rows only"), why
+    assert status == ("rows only" if name in WITHOUT_SQL else "ok"), why
 
 
 def test_entry(spark):

@@ -131,18 +131,55 @@ def unexplained(c: Comparison, i: int) -> Column:
     return mismatch(i) & ~found if i in c.has_where else mismatch(i)
 
 
+#: Columns above which a table is counted by chunks of so many.
+CHUNK = 100
+
+
 def mismatch_counts(c: Comparison, aligned: DataFrame) -> DataFrame:
     """Tall counts ``(column, ordinal, shared, mismatches, residual)`` from aligned rows, in one pass.
 
     ``residual`` is NULL for columns without a predicate.
     """
     n = len(c.columns)
+    if n > CHUNK:
+        return _wide_counts(c, aligned)
     aggs = [F.count(F.lit(1)).cast(PAIRS).alias("shared")]
     aggs += [F.count_if(mismatch(i)).cast(PAIRS).alias(f"m{i}") for i in range(n)]
     aggs += [F.count_if(unexplained(c, i)).cast(PAIRS).alias(f"u{i}") for i in sorted(c.has_where)]
     return _tall(c, aligned.agg(*aggs))
 
 
+def _wide_counts(c: Comparison, aligned: DataFrame) -> DataFrame:
+    """As ``mismatch_counts``: a row tells which of its columns differ, chunk by chunk, and these are counted.
+
+    A chunk that is equal on both sides is left without a look at its columns.
+    """
+    nothing = F.array().cast("array<struct<ordinal:int,open:boolean>>")
+
+    def chunk(start: int) -> Column:
+        at = range(start, min(start + CHUNK, len(c.columns)))
+        cells = [
+            F.when(mismatch(i), F.struct(F.lit(i).alias("ordinal"), (unexplained(c, i) if i in c.has_where else F.lit(False)).alias("open")))
+            for i in at
+        ]
+        sides = [F.struct(*[F.col(f"{side}{i}").alias(f"v{i}") for i in at]) for side in "lr"]
+        same = sides[0].eqNullSafe(sides[1])
+        return F.when(same, nothing).otherwise(F.array_compact(F.array(*cells)))
+
+    marker = F.array(F.struct(F.lit(-1).alias("ordinal"), F.lit(False).alias("open")))  # each aligned row once
+    told = aligned.select(F.inline(F.concat(marker, *[chunk(i) for i in range(0, len(c.columns), CHUNK)])))
+    counts = told.groupBy("ordinal").agg(F.count("*").cast(PAIRS).alias("n"), F.count_if("open").cast(PAIRS).alias("open"))
+    shared = counts.where("ordinal = -1").select(F.col("n").alias("shared"))
+    names = [(name, i, i in c.has_where) for i, name in enumerate(c.columns)]
+    rows = aligned.sparkSession.createDataFrame(names, "column string, ordinal int, ruled boolean")
+    zero = F.lit(0).cast(PAIRS)
+    found = rows.join(counts, "ordinal", "left").join(shared, F.lit(True), "left")  # one row of ``shared`` at most
+    residual = F.when(F.col("ruled"), F.coalesce("open", zero))
+    return found.select(
+        "column", "ordinal", F.coalesce("shared", zero).alias("shared"), F.coalesce("n", zero).alias("mismatches"), residual.alias("residual")
+    )
+
+
 def _tall(c: Comparison, wide: DataFrame) -> DataFrame:
     cells = [
         F.struct(
