@@ -155,3 +155,30 @@ def test_only_the_named_tenants_are_listed(spark, tmp_path):
     assert found("north") == [("north", False), ("north", True)]
     assert found("{odd,one}", "south") == [("south", False), ("south", True), ("{odd,one}", False)]
     assert found("west") == []
+
+
+def test_newest_paths_lead_to_the_same_runs(spark, tmp_path):
+    lay_out(
+        tmp_path, "left/a/20260728223000/v.csv", "left/a/20260729223000/v.csv.pgp", "left/a/20260730223000/marker.json",
+        "left/b/20260728223000/v.csv", "left/b/20260729223000/v.csv.pgp", "left/processed/b/20260729223000/sub/v.csv000",
+        "left/c/20260728223000/v.csv.pgp", "left/c/20260727223000/w.csv.pgp", "left/d/notes/v.csv", "left/e/20260101000000/V.CSV",
+        "left/e/20260201000000/_hidden.csv", "left/other/20260101000000/v.csv",
+    )
+    base, tenants = f"file:{tmp_path / 'left'}", ["a", "b", "c", "d", "e", "nobody"]
+    for pinned in (None, "20260728223000"):
+        pins = {"left": pinned} if pinned else None
+        every = run_ops.run_files(run_ops.list_paths(spark, base, tenants), "left", base)
+        some = run_ops.run_files(run_ops.newest_paths(spark, base, tenants, pinned, processed=True), "left", base)
+        got, want = (sorted(map(tuple, run_ops.latest_run(f, pins).collect())) for f in (some, every))
+        assert got == want and len(got) >= 3
+        chosen = [sorted(r.path for r in run_ops.chosen_files(f, run_ops.latest_run(f, pins)).collect()) for f in (some, every)]
+        assert chosen[0] == chosen[1]
+
+
+def test_old_runs_are_not_listed(spark, tmp_path, monkeypatch):
+    lay_out(tmp_path, *[f"left/t/{20240101000000 + i}/v.csv" for i in range(500)], "left/t/20250101000000/v.csv.pgp")
+    listed, children = [], run_ops._children
+    monkeypatch.setattr(run_ops, "_children", lambda spark, folder: listed.append(folder) or children(spark, folder))
+    found = run_ops.newest_paths(spark, f"file:{tmp_path / 'left'}", ["t"])
+    assert sorted(r.path.split("/")[-2] for r in found.collect()) == ["20240101000499", "20250101000000"]
+    assert len(listed) == 3  # the tenant's folder and two runs

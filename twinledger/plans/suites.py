@@ -178,11 +178,11 @@ def run_csv(
     bases = {
         "left": csv.get("left_base") or csv["redshift_base"], "right": csv.get("right_base") or csv["snowflake_base"],
     }
-    files = reduce(
-        DataFrame.unionByName,
-        [run_ops.run_files(run_ops.list_paths(spark, base, clients), side, base) for side, base in bases.items()],
-    ).where(F.col("tenant").isin(clients))
     pinned = {side: ts for side, ts in (("left", left_run), ("right", right_run)) if ts}
+    listed = {
+        side: run_ops.newest_paths(spark, base, clients, pinned.get(side), processed=side == "left") for side, base in bases.items()
+    }
+    files = reduce(DataFrame.unionByName, [run_ops.run_files(paths, side, bases[side]) for side, paths in listed.items()])
     latest = run_ops.latest_run(files, pinned)
     entries = _chosen(_mode_entries(cfg, "csv"), views)
     rows = config_ops.config_rows(spark, entries, csv.get("default_grain"))

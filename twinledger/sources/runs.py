@@ -1,7 +1,7 @@
 """Extract runs: ``{base}/{tenant}/{14-digit run}/{view}.csv...`` folders on each side.
 
 Everything works on a frame of paths, so listings of any size are parsed, classified, paired and compared
-by grouping; only ``list_paths`` touches the file system.
+by grouping; only ``list_paths`` and ``newest_paths`` touch the file system.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -37,6 +38,55 @@ def list_paths(spark: SparkSession, base: str, tenants: Sequence[str] | None = N
         return spark.createDataFrame([], "path string")
 
 
+def _children(spark: SparkSession, folder: str) -> list[tuple[str, str, bool]]:
+    """(name, path, is it a folder) of what lies directly in a folder; nothing if it is not there."""
+    files = spark._jvm.org.apache.hadoop.fs
+    path = files.Path(folder)
+    try:
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getName() == "java.io.FileNotFoundException":
+            return []
+        raise
+    named = [(f.getPath().getName(), f.getPath().toString(), bool(f.isDirectory())) for f in found]
+    return [f for f in named if not f[0].startswith((".", "_"))]  # as Spark's readers pass over them
+
+
+def _files_below(spark: SparkSession, folder: str) -> list[str]:
+    out, todo = [], [folder]
+    while todo:
+        for _, path, is_folder in _children(spark, todo.pop()):
+            (todo if is_folder else out).append(path)
+    return out
+
+
+def newest_paths(
+    spark: SparkSession, base: str, tenants: Sequence[str], pinned: str | None = None, processed: bool = False
+) -> DataFrame:
+    """Paths of the newest runs of each tenant, down to the first that can be used; older ones are not listed.
+
+    Of a tenant's folder only the names are read; a run's files are listed when it is tried, newest first.  A run is
+    used if it has plain files or, with ``processed``, encrypted ones whose originals lie below ``processed``.  What is
+    returned leads ``latest_run`` to the same run as all paths would.
+    """
+    base = base.rstrip("/")
+    out: list[str] = []
+    for tenant in dict.fromkeys(tenants):
+        names = [n for n, _, is_folder in _children(spark, f"{base}/{tenant}") if is_folder and re.fullmatch("[0-9]{14}", n)]
+        for ts in sorted((n for n in names if pinned in (None, n)), reverse=True):
+            found = _files_below(spark, f"{base}/{tenant}/{ts}")
+            low = [path.rsplit("/", 1)[1].lower() for path in found]
+            out += found
+            if any(".csv" in n and not n.endswith(".pgp") for n in low):
+                break
+            if processed and any(n.endswith(".pgp") for n in low):
+                kept = _files_below(spark, f"{base}/processed/{tenant}/{ts}")
+                out += kept
+                if any(".csv" in n and not n.endswith(".pgp") for n in (path.rsplit("/", 1)[1].lower() for path in kept)):
+                    break
+    return spark.createDataFrame([(path,) for path in out], "path string")
+
+
 def file_kind(name: Column) -> Column:
     low = F.lower(name)
     return (
