@@ -20,6 +20,7 @@ UNSAFE = re.compile(r" (?<=\s )(?!\S)")
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHERS = [b for b in range(256) if b not in _PRINTABLE]
 LETTER_OF_BYTE = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
+SPACE = LETTER_OF_BYTE[32]
 CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -64,9 +65,14 @@ class PartEncoder:
 
     def _ask(self, part: str) -> bytes:
         """Ids of one part: the library's model on each pre-token.  A word with or without a space before it is one."""
-        pieces = [part]
-        if not part.isalpha() and not (part[:1] == " " and part[1:].isalpha()):
-            pieces = self.pattern.findall(part)
+        word = part[1:] if part[:1] == " " else part
+        if word.isalpha():
+            if word.isascii():
+                piece = part if word is part else SPACE + word
+            else:
+                piece = part.encode().decode("latin-1").translate(LETTER_OF_BYTE)
+            return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        pieces = self.pattern.findall(part)
         if len(pieces) == 1:
             piece = part.encode().decode("latin-1").translate(LETTER_OF_BYTE)
             return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
@@ -87,15 +93,21 @@ class PartEncoder:
             parts = cut(text)
             found = list(map(known.get, parts))
             self.looked_up += len(parts)
-            if None in found:
-                places = [i for i, ids in enumerate(found) if ids is None]
+            try:
+                done.append(b"".join(found))  # fails where a part is not known
+            except TypeError:
+                at, places = -1, []
+                try:
+                    while True:
+                        at = found.index(None, at + 1)
+                        places.append(at)
+                except ValueError:
+                    pass
                 self.unknown += len(places)
                 missed = [parts[i] for i in places]
                 new.update(missed)
                 waiting.append((len(done), found, places, missed))
                 done.append(None)
-            else:
-                done.append(b"".join(found))
         asked = {}
         for part in sorted([p for p in new if p not in later], key=len):  # words come before words with signs behind them
             ids = asked[part] = self._ask(part)

@@ -32,7 +32,8 @@ class WaveletMatrix:
 
     @staticmethod
     def _counts(plane: np.ndarray) -> np.ndarray:
-        ones = np.bitwise_count(np.pad(plane, (0, -len(plane) % (BLOCK // 8)))).reshape(-1, BLOCK // 8).sum(1, dtype="int64")
+        words = np.pad(plane, (0, -len(plane) % (BLOCK // 8))).view("uint64")
+        ones = np.bitwise_count(words).reshape(-1, BLOCK // 64).sum(1, dtype="int64")
         return np.concatenate([[0], np.cumsum(ones)]).astype("uint32")
 
     @classmethod
@@ -174,7 +175,10 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, bi
         shard, number, held, ids, lengths, parts = None, 0, 0, [], [], []
 
         def file():
-            data = write_file(ids, lengths, np.concatenate(parts), bits)
+            whole = np.frombuffer(b"".join(parts), "<u4")
+            if int(whole.max()) >> bits:
+                raise ValueError(f"an id needs more than {bits} bits")
+            data = write_file(ids, lengths, whole.astype(kind), bits)
             return {"shard": [shard], "file": [number], "n_docs": [len(ids)], "n_tokens": [sum(lengths)], "data": [data]}
 
         for batch in batches:
@@ -187,14 +191,11 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, bi
                             yield file()
                         number = number + 1 if s == shard else 0
                         shard, held, ids, lengths, parts = s, 0, [], [], []
-                    wide = np.frombuffer(found + end, "<u4")
-                    if int(wide.max()) >> bits:
-                        raise ValueError(f"an id needs more than {bits} bits")
-                    part = wide.astype(kind)
+                    n = len(found) // 4 + 1
                     ids.append(doc_id)
-                    lengths.append(len(part))
-                    parts.append(part)
-                    held += len(part)
+                    lengths.append(n)
+                    parts += (found, end)
+                    held += n
         if ids:
             yield file()
 
