@@ -166,3 +166,15 @@ def test_a_missing_cell_is_null_and_a_blank_one_is_not_if_blanks_count(compare):
 
 def test_a_file_without_a_header(compare):
     assert compare(ORDERS, "").verdict == "HEADER DRIFT"
+
+
+def test_samples_read_the_stored_alignment(spark, tmp_path):
+    """What comes after the counts parses no file again."""
+    sides = []
+    for name, rows in (("l", ORDERS), ("r", changed(3, "o_clerk", "someone"))):
+        (tmp_path / f"{name}.csv").write_text(text(rows), encoding="utf-8")
+        sides.append(read_extract(spark, str(tmp_path / f"{name}.csv")))
+    run = run_extracts(spark, ViewSpec("orders", grain=("o_orderkey",)), *sides, Settings(sample_rows=5), "north")
+    samples = gather(spark, [run]).samples
+    plan = samples._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "FileScan text" not in plan and samples.count() == 1
