@@ -105,3 +105,10 @@ def test_plans_of_both_ways(spark, tmp_path):
     assert "Exchange" not in plain and "Window" not in plain
     broken = read_extract(spark, written(tmp_path, 'a,b\n1,"2\n3"\n', "b.csv"))
     assert "Window" in broken.df._jdf.queryExecution().executedPlan().toString() and cells(broken).count() == 1
+
+
+def test_very_long_cells_need_no_stack(spark, tmp_path):
+    cell = 'x ""y"" z,' * 20_000
+    paths = [written(tmp_path, t, f"p{i}.csv") for i, t in enumerate(["id,a\n1,x\n", f'2,"{cell}"\n3,"{cell}",more\n'])]
+    found = in_order(read_extract(spark, paths))
+    assert [r[0] for r in found] == ["1", "2", "3"] and found[1][1] == found[2][1] == cell.replace('""', '"')

@@ -243,7 +243,8 @@ def _first_records(lines: DataFrame, ids: list[int], delimiter: str) -> dict[int
 
 def _width(raw: Column, delimiter: str) -> Column:
     """Number of cells of a ragged row: delimiters outside quotes, plus one; NULL for regular rows."""
-    outside = F.regexp_replace(raw, r'"(?:[^"]|"")*"', "")
+    # Without doubled quotes a quoted cell is one run of other characters, which no stack has to hold.
+    outside = F.regexp_replace(F.replace(raw, F.lit('""'), F.lit("")), r'"[^"]*+"', "")
     without = F.replace(outside, F.lit(delimiter), F.lit(""))
     return ((F.length(outside) - F.length(without)) / F.lit(len(delimiter))).cast("int") + 1
 
