@@ -1,14 +1,18 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, and their components.
 
-Texts with equal sets are one node.  Every node has the least values of its shingles under BANDS * BAND hashes; nodes
-that agree on one band of them meet in a bucket.  Two sets of similarity 0.8 miss each other in all bands with a
-probability of 5e-8, more alike ones less often.  A pair that meets is a link only after its sets were compared, by
-whole numbers.  Pairs that links have already put into one component need no comparison.
-
-First each bucket is compared with its best known node, the one that lies in the fullest buckets: in a group of copies
-that is the text they were made from, or one close to it.  What then is still in several components is compared pair
-by pair where the sets lie: buckets with the same nodes count once, and one with very many is cut into blocks, so that
-a task holds two blocks of sets at most.  Tasks pass on links, fewer than they have nodes; pairs are never written out.
+Texts with equal sets are one node.  Candidates come from SimHash first: every node has a fingerprint, the majority of
+its distinct shingles' hashes, and nodes connected by fingerprints at RADIUS or fewer differing bits meet in a bucket,
+by the covering masks of ``simhash``.  Sets of similarity 0.8 differ in some ten of 64 bits, so this finds the closest
+copies only.  What it leaves is found by least values: every node has those of its shingles under BANDS * BAND hashes,
+and nodes that agree on one band of them meet in a bucket.  Two sets of similarity 0.8 miss each other in all bands
+with a probability of 5e-8, more alike ones less often.  A pair that meets either way is a link only after its sets
+were compared, by whole numbers.  Pairs that links have already put into one component need no comparison.
+
+In either step each bucket is compared with its best known node, the one that lies in the fullest buckets: in a group
+of copies that is the text they were made from, or one close to it.  What then is still in several components is
+compared pair by pair where the sets lie: buckets with the same nodes count once, and one with very many is cut into
+blocks, so that a task holds two blocks of sets at most.  Tasks pass on links, fewer than they have nodes; pairs are
+never written out.
 """
 
 from __future__ import annotations
@@ -20,11 +24,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from twinledger.llm.common import columns_of, free_name, map_batches, small_batches
 from twinledger.llm.components import components
+from twinledger.llm.simhash import majority, near_links, signed
 from twinledger.sources.storage import stored
 
 #: Words of a shingle, and the similarity from which two texts are near copies: NEAR[0] / NEAR[1].
 WORDS = 5
 NEAR = (4, 5)
+#: Differing bits up to which fingerprints link; bands of so many least values each.
+RADIUS = 3
 BANDS, BAND = 32, 4
 #: Shingles whose hashes are held at once.
 STEP = 4096
@@ -36,7 +43,7 @@ SPREAD = 1000
 _rng = np.random.default_rng(6)
 _FLIP = _rng.integers(0, 1 << 64, BANDS * BAND, "uint64")
 _TIMES = _rng.integers(0, 1 << 64, BANDS * BAND, "uint64") | np.uint64(1)
-_PRINT = "node long, size int, bands array<long>"
+_PRINT = "node long, size int, bits long, bands array<long>"
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -56,14 +63,15 @@ def bands(hashes: np.ndarray) -> list[int]:
 
 
 def _numbered(docs: DataFrame, row: str, print_: str) -> DataFrame:
-    """The rows with a number each (``row``), and the name of their text's set, its size and its bands (``print_``)."""
+    """The rows with a number each (``row``), and their text's set: its name, size, fingerprint and bands (``print_``)."""
     small_batches(docs.sparkSession)
 
     @F.pandas_udf(_PRINT)
     def prints(texts: pd.Series) -> pd.DataFrame:
         sets = [shingles(t) for t in texts]
         names = [xxhash.xxh64_intdigest(s.tobytes(), 42) - (1 << 63) for s in sets]
-        return pd.DataFrame({"node": names, "size": [len(s) for s in sets], "bands": [bands(s) if len(s) else [] for s in sets]})
+        found = {"node": names, "size": [len(s) for s in sets], "bits": [signed(majority(s)) for s in sets]}
+        return pd.DataFrame({**found, "bands": [bands(s) if len(s) else [] for s in sets]})
 
     return docs.withColumn(row, F.monotonically_increasing_id()).withColumn(print_, prints("text"))
 
@@ -186,12 +194,37 @@ def _in_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(ordered, work, "a long, b long").distinct()
 
 
-def links(members: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """Links that connect all alike nodes which share a bucket (``key``, ``node``, ``size``); none without buckets."""
-    found, before = None, None
+def by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """A bucket (``key``) for all nodes with a shingle that fingerprints within RADIUS connect."""
+    nodes = nodes.where("size > 0")
+    bits = stored(nodes.select("bits").distinct(), "fingerprints")
+    roots = components(near_links(bits, RADIUS)).withColumnRenamed("node", "bits")
+    return nodes.join(roots, "bits", "left").select(F.coalesce("root", "bits").alias("key"), "node", "size")
+
+
+def _met(dealt: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several nodes."""
+    shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return dealt.join(shared, "key", "left_semi")
+
+
+def _rooted(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Members with the ``root`` of the component that links so far put them into."""
+    if found is None:
+        return members.withColumn("root", F.col("node"))
+    roots = components(found).withColumnRenamed("root", "_root")
+    return members.join(roots, "node", "left").select("key", "node", "size", "known", F.coalesce("_root", "node").alias("root"))
+
+
+def links(members: DataFrame, sets: DataFrame, found: DataFrame | None = None) -> DataFrame | None:
+    """Links that connect all alike nodes which share a bucket (``key``, ``node``, ``size``), added to those found before.
+
+    None without any.
+    """
+    before = None
     counts = members.groupBy("key").agg(F.count("*").alias("n"))
     known = members.join(counts, "key").groupBy("node").agg(F.sum("n").alias("known"))
-    left = members.join(known, "node").withColumn("root", F.col("node"))
+    left = _rooted(members.join(known, "node"), found)
     while True:
         # A bucket whose nodes are in one component is settled.
         open_ = left.groupBy("key").agg(
@@ -211,9 +244,7 @@ def links(members: DataFrame, sets: DataFrame) -> DataFrame | None:
         new = stored(_alike(others.where(_possible("n", "m")).select("a", "b").distinct(), sets), "alike")
         found = new if found is None else found.unionByName(new)
         before = now
-        roots = components(found).withColumnRenamed("root", "_root")
-        left = left.where("node <> first.node").drop("first")
-        left = left.join(roots, "node", "left").select("key", "node", "size", "known", F.coalesce("_root", "node").alias("root"))
+        left = _rooted(left.where("node <> first.node").select("key", "node", "size", "known"), found)
 
 
 def classes(docs: DataFrame, row: str) -> tuple[DataFrame, DataFrame]:
@@ -221,13 +252,14 @@ def classes(docs: DataFrame, row: str) -> tuple[DataFrame, DataFrame]:
     print_ = free_name(docs, "print")
     numbered = stored(_numbered(docs, row, print_), "numbered")
     prints = numbered.select(row, f"{print_}.*")
-    nodes = stored(prints.groupBy("node").agg(F.min(row).alias("_first"), F.min("size").alias("size"), F.min("bands").alias("bands")), "sets")
-    dealt = nodes.select(F.explode("bands").alias("key"), "node", "size")
-    shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = stored(dealt.join(shared, "key", "left_semi"), "members")
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("_first").alias(row))
+    least = [F.min(c).alias(c) for c in ("size", "bits", "bands")]  # equal for all rows of a node
+    nodes = stored(prints.groupBy("node").agg(F.min(row).alias("_first"), *least), "sets")
+    near = stored(_met(by_fingerprint(nodes)), "near-fingerprints")
+    members = stored(_met(nodes.select(F.explode("bands").alias("key"), "node", "size")), "members")
+    met = near.select("node").unionByName(members.select("node")).distinct()
+    wanted = nodes.join(met, "node", "left_semi").select("node", F.col("_first").alias(row))
     sets = stored(_sets(numbered.select(row, "text").join(wanted, row).select("node", "text")), "shingles")
-    found = links(members, sets)
+    found = links(members, sets, links(near, sets))
     named = nodes.select("node")
     if found is None:
         named = named.withColumn("component", F.col("node"))

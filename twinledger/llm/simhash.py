@@ -50,6 +50,11 @@ def fingerprint(text: str, size: int = 3) -> int:
         digest = xxhash.xxh64_intdigest
         pairs = zip(starts[: len(found) - size + 1].tolist(), stops[size - 1 :].tolist())
         hashes = [digest(line[a:b], 42) for a, b in pairs]
+    return majority(hashes)
+
+
+def majority(hashes: list[int] | np.ndarray) -> int:
+    """The bits set in over half of the hashes; none: zero."""
     set_in = np.zeros(64, "int64")
     for i in range(0, len(hashes), 1 << 16):
         part = np.array(hashes[i : i + (1 << 16)], "<u8").view("uint8").reshape(-1, 8)
