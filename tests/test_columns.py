@@ -98,6 +98,24 @@ def test_repeated_keys_count_like_the_join(spark, null_safe, null_explains):
     assert sum(r[3] for r in got) > 0
 
 
+@pytest.mark.parametrize("few, listed, where", [(1, 0, ORDERED), (4, 100, DISTANCES[1])])
+def test_formed_and_counted_pairs_add_up(spark, monkeypatch, few, listed, where):
+    """Whatever the number of copies above which pairs are counted, and the number of keys above which rows are marked."""
+    monkeypatch.setattr(col_ops, "FEW", few)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", listed)
+    c = col_ops.compare(table(spark, 9, 90), table(spark, 10, 90), ["k1"], where=where, null_safe=few == 1)
+    got = sorted(map(tuple, col_ops.column_diff(c).collect()))
+    assert got == joined_counts(c) and sum(r[3] for r in got) > 0
+
+
+def test_pairs_of_few_copies_are_formed(spark, monkeypatch):
+    """No row per cell, and no grouping of values, for keys with a few copies."""
+    left = spark.range(300).select((F.col("id") % 100).alias("k"), (F.col("id") % 7).alias("v"))
+    c = col_ops.compare(left, left.withColumn("v", F.col("v") % 5), ["k"], where={"v": "prod_value < uat_value"})
+    monkeypatch.delattr(col_ops, "pair_counts")
+    assert sorted(map(tuple, col_ops.column_diff(c).collect())) == joined_counts(c)
+
+
 def test_hot_keys_spread_over_salts(spark, monkeypatch):
     monkeypatch.setattr(joins, "SALTS", 4)
     left = table(spark, 3, 60).withColumn("k1", F.lit(7))

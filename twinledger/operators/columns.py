@@ -2,8 +2,8 @@
 
 Three ways to align rows, chosen by what the grain check found:
 
-* unique keys: a plain inner join, one row per key;
-* duplicated keys in the table ladders: the join would pair every copy with every copy, so the pairs
+* unique keys, and keys with few copies: a plain inner join, a few pairs per row at most;
+* keys with many copies in the table ladders: the join would pair every copy with every copy, so the pairs
   are *counted* from grouped values instead of being formed;
 * CSV ladder: the first row of each key, by one grouping of both sides.
 
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from twinledger.functions.normalise import groupable, quoted, table_value
 from twinledger.functions.predicates import Predicate, explained, usable
 from twinledger.operators.fingerprint import cell_text, shown_text
-from twinledger.operators.joins import join_on, mark_keys
+from twinledger.operators.joins import join_on, split_keys
 from twinledger.operators.keys import LEFT_N, RIGHT_N, any_null, side_counts
 from twinledger.operators.residuals import PAIRS, pair_counts
 from twinledger.sources.storage import stored
@@ -220,39 +220,37 @@ def _cells(c: Comparison, df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*c.key_names, F.inline(cells))
 
 
-def _marked(c: Comparison, dups: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides with ``__listed`` for rows of repeated keys, and their salts."""
-    counted = dups.select(*c.key_names, (F.col(LEFT_N) + F.col(RIGHT_N)).alias("n"))
-    return tuple(mark_keys(side, counted, c.key_names, c.null_safe) for side in (c.left, c.right))
+def _split(c: Comparison, keys: DataFrame) -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
+    """Inner join of the rows whose keys are not among these, and the rows of either side whose keys are."""
+    counted = keys.select(*c.key_names, (F.col(LEFT_N) + F.col(RIGHT_N)).alias("n"))
+    return split_keys(c.left, c.right, counted, c.key_names, c.null_safe)
 
 
-def _join_single(c: Comparison, left: DataFrame, right: DataFrame) -> DataFrame:
-    """Inner join of the rows whose keys need no pairing; all have salt 0, so their shuffle is kept."""
-    sides = [side.where(~F.col("__listed")).drop("__listed") for side in (left, right)]
-    return join_on(*sides, [*c.key_names, "__salt"], c.null_safe, "inner").drop("__salt")
+#: Copies of a key on either side up to which the join forms its pairs: ``FEW / 2`` per row at most, which takes less
+#: than a row per cell, its shuffle and the grouping of its values would.
+FEW = 32
 
 
-def _repeated(side: DataFrame) -> DataFrame:
-    return side.where("__listed").drop("__listed", "__salt")
+def copious(dups: DataFrame) -> DataFrame:
+    """Of the duplicated keys those with more than ``FEW`` rows on a side: their pairs are counted, not formed."""
+    return dups.where(F.greatest(LEFT_N, RIGHT_N) > FEW)
 
 
-def fan_out_counts(c: Comparison, dups: DataFrame) -> DataFrame:
-    """Counts of the join that pairs all rows of equal key, for keys that may repeat.
+def fan_out_counts(c: Comparison, many: DataFrame) -> DataFrame:
+    """Counts of the join that pairs all rows of equal key, for keys that may repeat; ``many`` are the copious ones.
 
-    Keys that occur once are joined.  For repeated keys the number of pairs is the product of both
+    All other keys are joined.  For copious keys the number of pairs is the product of both
     row counts and the number of equal pairs follows from how often each value occurs on each side,
     so no pair is formed, however many rows a key has.  Residuals follow likewise (``residuals``).
     """
-    left, right = _marked(c, dups)
-    single = mismatch_counts(c, _join_single(c, left, right))
-    values = side_counts(
-        _cells(c, _repeated(left), "l"), _cells(c, _repeated(right), "r"), [*c.key_names, "i", "v"]
-    )
+    rest, (left, right) = _split(c, many)
+    single = mismatch_counts(c, rest)
+    values = side_counts(_cells(c, left, "l"), _cells(c, right, "r"), [*c.key_names, "i", "v"])
     if c.has_where:
         # Comparisons across the sides look at the values again.
         values = stored(values, "fan-out-values")
-    many = pair_counts(c, values)
-    out = single.join(many, "ordinal", "left")
+    counted = pair_counts(c, values)
+    out = single.join(counted, "ordinal", "left")
 
     def plus(name: str) -> Column:
         total = F.col(name) + F.coalesce(F.col(f"{name}2"), F.lit(0).cast(PAIRS))
@@ -266,8 +264,8 @@ def column_diff(c: Comparison, dups: DataFrame | None = None) -> DataFrame:
 
     ``dups`` are the stored duplicated keys; left open, a pass over the key columns finds them.
     """
-    dups = stored(duplicated(c), "duplicated-keys") if dups is None else dups
-    return mismatch_counts(c, align_unique(c)) if dups.isEmpty() else fan_out_counts(c, dups)
+    many = stored(copious(duplicated(c)), "copious-keys") if dups is None else copious(dups)
+    return mismatch_counts(c, align_unique(c)) if many.isEmpty() else fan_out_counts(c, many)
 
 
 # -- first row per key ---------------------------------------------------------------------------
@@ -412,13 +410,11 @@ def align_samples(c: Comparison, dups: DataFrame) -> DataFrame:
     """Aligned rows to draw samples from: of a repeated key only the least row of each side."""
     if dups.isEmpty():
         return align_unique(c)
-    left, right = _marked(c, dups)
+    rest, (left, right) = _split(c, dups)
 
     def least(df: DataFrame, prefix: str) -> DataFrame:
         values = _names(prefix, len(c.columns))
         grouped = df.groupBy(*c.key_names).agg(F.min(F.struct(*values)).alias("row"))
         return grouped.select(*c.key_names, *[F.col("row")[v].alias(v) for v in values])
 
-    return _join_single(c, left, right).unionByName(
-        join_on(least(_repeated(left), "l"), least(_repeated(right), "r"), c.key_names, c.null_safe, "inner")
-    )
+    return rest.unionByName(join_on(least(left, "l"), least(right, "r"), c.key_names, c.null_safe, "inner"))

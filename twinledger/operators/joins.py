@@ -52,6 +52,23 @@ def mark_keys(df: DataFrame, counted: DataFrame, keys: Sequence[str], null_safe:
     return marked.withColumn("__listed", F.coalesce("__listed", F.lit(False)))
 
 
+def split_keys(
+    left: DataFrame, right: DataFrame, counted: DataFrame, keys: Sequence[str], null_safe: bool
+) -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
+    """The inner join of the rows whose keys are not in ``counted``, and the rows of both sides whose keys are.
+
+    ``counted`` has each key once, with its number of rows ``n``; rows are marked by it (``mark_keys``).
+    """
+    sides = (left, right)
+    marked = [mark_keys(side, counted, keys, null_safe) for side in sides]
+    # Rows of unlisted keys all have salt 0, so their shuffle is kept.
+    rest = [side.where(~F.col("__listed")).drop("__listed") for side in marked]
+    return (
+        join_on(*rest, [*keys, "__salt"], null_safe, "inner").drop("__salt"),
+        tuple(side.where("__listed").drop("__listed", "__salt") for side in marked),
+    )
+
+
 def join_list(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join with a list that is usually short; only its key columns are used.
 
