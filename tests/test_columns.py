@@ -116,6 +116,18 @@ def test_pairs_of_few_copies_are_formed(spark, monkeypatch):
     assert sorted(map(tuple, col_ops.column_diff(c).collect())) == joined_counts(c)
 
 
+def test_values_are_counted_of_copious_keys_only(spark, monkeypatch):
+    """One key with half of all rows, the others with a few: only its rows become cells, and no row is marked."""
+    left = spark.range(400).select(F.when(F.col("id") < 200, -1).otherwise(F.col("id") % 90).alias("k"), (F.col("id") % 7).alias("v"))
+    c = col_ops.compare(left, left.withColumn("v", F.col("v") + 1), ["k"], where={"v": "abs(prod_value - uat_value) <= 2"})
+    seen, cells = [], col_ops._cells
+    monkeypatch.setattr(col_ops, "_cells", lambda c, df, prefix: seen.append(df) or cells(c, df, prefix))
+    assert sorted(map(tuple, col_ops.column_diff(c).collect())) == joined_counts(c)
+    assert [{r.k0 for r in df.collect()} for df in seen] == [{-1}, {-1}]
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in seen]
+    assert all("BroadcastHashJoin" in p and "__salt" not in p for p in plans)
+
+
 def test_hot_keys_spread_over_salts(spark, monkeypatch):
     monkeypatch.setattr(joins, "SALTS", 4)
     left = table(spark, 3, 60).withColumn("k1", F.lit(7))

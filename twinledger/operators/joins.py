@@ -57,9 +57,14 @@ def split_keys(
 ) -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
     """The inner join of the rows whose keys are not in ``counted``, and the rows of both sides whose keys are.
 
-    ``counted`` has each key once, with its number of rows ``n``; rows are marked by it (``mark_keys``).
+    ``counted`` has each key once, with its number of rows ``n``.  A list of proven size is broadcast, so that listed rows
+    stay where they are and the others are shuffled once; by a longer one rows are marked (``mark_keys``).
     """
     sides = (left, right)
+    if counted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        listed = F.broadcast(counted.select(*[quoted(k) for k in keys]))
+        rest = [join_on(side, listed, keys, null_safe, "left_anti") for side in sides]
+        return join_on(*rest, keys, null_safe, "inner"), tuple(join_on(side, listed, keys, null_safe, "left_semi") for side in sides)
     marked = [mark_keys(side, counted, keys, null_safe) for side in sides]
     # Rows of unlisted keys all have salt 0, so their shuffle is kept.
     rest = [side.where(~F.col("__listed")).drop("__listed") for side in marked]
